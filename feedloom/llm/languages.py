@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -172,12 +173,16 @@ class Compressors:
 
 
 def build_dictionaries(labelled: DataFrame, cfg: LanguageConfig | None = None) -> dict[str, bytes]:
-    """Dictionaries from a bounded sample of rows (text, label), chosen by hash.
+    """Dictionaries from a bounded sample of rows (text, label): about ``sample_rows`` of the labelled rows, chosen by hash of the text.
 
     Twice: lines whose class agrees with their label, that are clear and that the dictionary so far does not hold, are added.
     """
     cfg = cfg or LanguageConfig()
-    sample = labelled.filter("text is not null").select("text", label_language(F.col("label")).alias("l")).filter("l is not null").orderBy(F.xxhash64("text"), "text").limit(cfg.sample_rows).collect()
+    named = labelled.select("text", label_language(F.col("label")).alias("l")).filter("l is not null")
+    total = max(1, named.select("l").count())
+    share = int(min(1.0, cfg.sample_rows / total) * 1_000_000)
+    sample = named.filter("text is not null").filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share).limit(4 * cfg.sample_rows).collect()
+    sample.sort(key=lambda r: (zlib.crc32(r["text"].encode()), r["text"]))
     lines = [(r["l"], ln.strip()) for r in sample for ln in r["text"].split("\n") if len(ln.strip()) >= 12]
     dictionaries = {k: v.encode() for k, v in SEEDS.items()}
     for lead_needed, budget in ((4, cfg.dictionary_bytes // 2), (6, cfg.dictionary_bytes)):

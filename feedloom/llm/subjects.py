@@ -238,8 +238,11 @@ def fit(documents: DataFrame, labels: DataFrame, subjects: list[str], cfg: Subje
     k = len(subjects) + 1
     docs = documents.filter("text is not null and doc_id is not null").select("doc_id", "text")
     by_doc = labels.filter(F.col("subject").isin(subjects)).groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("labels"))
-    taken = docs.join(by_doc, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.max_labelled)
-    known = taken.collect()
+    # every labelled document up to the bound, else a share of them by hash of their id
+    n_labelled = by_doc.count()
+    share = 1_000_000 if n_labelled <= cfg.max_labelled else int(0.95 * cfg.max_labelled / n_labelled * 1_000_000)
+    by_doc = by_doc.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    known = sorted(docs.join(by_doc, "doc_id").collect(), key=lambda r: r["doc_id"])
     size = cfg.buckets * len(LANGUAGES)
     memo = Buckets(cfg.buckets)
     flat, starts, counts = _vectors([r["text"] for r in known], memo)
@@ -269,7 +272,7 @@ def fit(documents: DataFrame, labels: DataFrame, subjects: list[str], cfg: Subje
     base, base_prior = model.counts, post.sum(0) if len(post) else np.zeros(k)
 
     spark = documents.sparkSession
-    rest = docs.join(taken.select("doc_id"), "doc_id", "left_anti") if len(known) >= cfg.max_labelled else docs.join(by_doc.select("doc_id"), "doc_id", "left_anti")
+    rest = docs.join(by_doc.select("doc_id"), "doc_id", "left_anti")
     for _ in range(cfg.corpus_rounds):
         shared = spark.sparkContext.broadcast((model.weights, model.bias))
 
