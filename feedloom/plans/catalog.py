@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from feedloom.plans import deal_queries, flow_queries, report_queries, text_queries
+from feedloom.plans.registry import Query
 
-from pyspark.sql import DataFrame, SparkSession
+_PARTS = (text_queries.R, deal_queries.R, flow_queries.R, report_queries.R)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {k: f for part in _PARTS for k, f in part.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for part in _PARTS for k, s in part.sql.items()}

@@ -18,6 +18,7 @@ def build_session(app: str = "feedloom", master: str = "local[*]", shuffle_parti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FEEDLOOM_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
