@@ -22,10 +22,9 @@ def _body() -> F.Column:
     return F.concat(T.filled("title"), F.lit(" "), T.filled("description"))
 
 
-@R.add("SELECT doc_id, trim(replace(regexp_replace(coalesce(text, ''), '[\\s\\x{a0}\\x{85}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{1680}\\x{b}\\x{1c}-\\x{1f}]+', ' ', 'g'), chr(8203), '')) AS cleaned FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[\\x{1c}-\\x{1f}]')")
+@R.add("SELECT doc_id, trim(replace(regexp_replace(coalesce(text, ''), '[\\s\\x{a0}\\x{85}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{1680}\\x{b}]+', ' ', 'g'), chr(8203), '')) AS cleaned FROM documents")
 def clean_text_docs(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").filter("text is not null").filter(~F.col("text").rlike(r"[\x1c-\x1f]"))
-    return docs.select("doc_id", T.clean_text(F.col("text")).alias("cleaned"))
+    return table(spark, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("cleaned"))
 
 
 @R.add(f"""SELECT pos, {S.ai(_BODY)} AS is_ai, {S.news(_BODY)} AS is_news, {S.promo(_BODY)} AS is_promo, {S.opinion(_BODY)} AS opinion, {S.statement(_BODY)} AS statement,
