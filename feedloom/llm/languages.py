@@ -225,7 +225,7 @@ def field_segments(rows: DataFrame, dictionaries: dict[str, bytes], cfg: Languag
             types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    return rows.select(F.col("pos").cast("bigint").alias("pos"), "field_name", "text").mapInArrow(run, "pos bigint, field_name string, seg_no int, lang string, confidence double, first_line int, last_line int")
+    return rows.filter("text is not null").select(F.col("pos").cast("bigint").alias("pos"), "field_name", "text").mapInArrow(run, "pos bigint, field_name string, seg_no int, lang string, confidence double, first_line int, last_line int")
 
 
 def article_segments(summarized: DataFrame, residue: DataFrame, cfg: LanguageConfig | None = None) -> tuple[DataFrame, DataFrame]:
