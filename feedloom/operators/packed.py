@@ -66,9 +66,9 @@ def _compiled(cfg: PackedConfig) -> dict[str, re.Pattern]:
         # spans that are no part of any name
         "cut": re.compile(
             rf"(?P<role>[(（\[【]\s*(?:{alt(cfg.role_words)}|[一-鿿]{{1,6}}|[a-z][a-z -]{{0,30}})\s*[)）\]】])"
-            rf"|(?P<dash>\s[-–—]\s*(?:{alt(cfg.role_words)})\b(?![-\w]))"
+            rf"|(?P<dash>\s[-–—]\s*(?:{alt(cfg.role_words)})(?![-A-Za-z0-9]))"
             rf"|(?P<na>(?<![\w/])[nN]/[aA](?![\w/]))"
-            rf"|(?P<others>(?<![\w&])(?:(?:and|&|\+)\s+)?(?:{alt(cfg.others)})(?![\w]))"
+            rf"|(?P<others>(?<![\w&])(?:(?:and|&|\+)\s+)?(?:{alt(cfg.others)})(?![A-Za-z0-9_]))"
             rf"|(?P<etc>等(?:\d+家|多家)?(?:投资(?:机构|者|方)|机构)?(?=\s*(?:{END}|领投|跟投|参投)))"
             rf"|(?P<zh>(?:联合)?领投|跟投|参投)"
             rf"|(?P<by>(?<![^{END}])\s*由)"

@@ -22,6 +22,7 @@ CASES = [
     ("A\xa0 One，B Two等", ["A One", "B Two"]),
     ('Ann "Annie" Lee, Bob 3" Fund', ['Ann "Annie" Lee', 'Bob 3" Fund']),
     ("「Lee, A.」/B Two", ["Lee, A.", "B Two"]),
+    ("A One - lead等", ["A One"]),
 ]
 
 
