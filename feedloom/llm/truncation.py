@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import ensure_checkpoint_dir
+
 
 @dataclass(frozen=True)
 class TruncationConfig:
@@ -291,7 +293,9 @@ def score_endings(texts: DataFrame, cfg: TruncationConfig | None = None) -> Data
     """tab, pos, source, p_cut of the values of ``texts`` (tab, pos, source, text) that do not end as whole."""
     cfg = cfg or TruncationConfig()
     base = texts.filter(r"text is not null and trim(text) <> ''").select("tab", F.col("pos").cast("bigint").alias("pos"), F.coalesce("source", F.lit("")).alias("source"), "text")
-    both = base.mapInArrow(_evidence(), _EVIDENCE_SCHEMA).persist()
+    ensure_checkpoint_dir(texts.sparkSession)
+    # six later stages read this; written once, so that the texts are parsed once and a lost executor costs no second parse
+    both = base.mapInArrow(_evidence(), _EVIDENCE_SCHEMA).checkpoint()
     lasts = both.filter("tab is not null")
     units = both.filter("tab is null").groupBy("fragment").agg(F.sum("n").alias("n"))
     stats = units.mapInArrow(_statistics, "key bigint, ends bigint, goes bigint").groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
