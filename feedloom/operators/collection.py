@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import filled, fingerprint
+from feedloom.operators.ranking import ranked
 from feedloom.operators.rules import post_verdict
 
 
@@ -25,6 +26,7 @@ def collect_posts(posts: DataFrame, level: str = "off", cap: int = 8, min_chars:
     by_print = fresh.filter(passed & ~F.col("seen_url") & (F.col("print") != "")).groupBy("print").agg(F.min("pos").alias("p0"))
     marked = fresh.join(by_print, "print", "left").withColumn("seen_text", passed & ~F.col("seen_url") & F.coalesce(F.col("p0") < F.col("pos"), F.lit(False)))
     left = passed & ~F.col("seen_url") & ~F.col("seen_text")
-    rank = F.sum(left.cast("int")).over(Window.partitionBy("author").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    outcome = F.when(F.col("n") < min_chars, "short").when(~F.col("v.keep"), F.col("v.reason")).when(F.col("seen_url"), "same url").when(F.col("seen_text"), "same text").when(rank > cap, "capped").otherwise("kept")
+    over = ranked(marked.filter(left).select("author", "pos"), ["author"], "pos").filter(F.col("rank") > cap).select("pos", F.lit(True).alias("over"))
+    marked = marked.join(over, "pos", "left")
+    outcome = F.when(F.col("n") < min_chars, "short").when(~F.col("v.keep"), F.col("v.reason")).when(F.col("seen_url"), "same url").when(F.col("seen_text"), "same text").when(F.coalesce("over", F.lit(False)), "capped").otherwise("kept")
     return marked.select("pos", outcome.alias("outcome"))

@@ -9,6 +9,7 @@ from feedloom.functions import deals as D
 from feedloom.functions import urls
 from feedloom.functions.text import filled
 from feedloom.operators import grounding
+from feedloom.operators.ranking import numbered
 from feedloom.operators.rounds import merge_rounds
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
@@ -101,8 +102,7 @@ def crypto_postfilter(spark: SparkSession, d: str) -> DataFrame:
     """Deals of ten millions or more, one for each company and day, in date order with invalid dates first."""
     e = table(spark, d, "funding_events").select("pos", F.lower(filled("company")).alias("c"), filled("event_date").alias("event_date"), D.amount_millions(F.col("raise_amount")).alias("m")).filter("m >= 10")
     first = e.groupBy("c", "event_date").agg(F.min(F.struct("pos", "m")).alias("f")).select("f.pos", "event_date", F.round("f.m", 6).alias("millions"))
-    order = Window.orderBy(D.event_day(F.col("event_date")).asc_nulls_first(), "pos")
-    return first.withColumn("row_no", F.row_number().over(order).cast("bigint"))
+    return numbered(first, D.event_day(F.col("event_date")).asc_nulls_first(), "pos", place="row_no")
 
 
 def _claim_sql() -> str:
@@ -152,8 +152,8 @@ def funding_table(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "funding_events").withColumns({"event_date": filled("event_date"), "t": F.coalesce(F.nullif("announced_time", F.lit("")), F.lit("99:99"))})
     shown = lambda c: F.when(D.disclosed(F.col(c)), F.col(c)).otherwise("未披露")
     labels = F.transform(F.slice(F.coalesce("sources", F.array().cast("array<string>")), 1, 3), lambda u: F.regexp_replace(urls.host(u), r"^www\.", ""))
-    return e.select(
-        "pos", F.row_number().over(Window.orderBy("event_date", "t", "pos")).cast("bigint").alias("row_no"), "event_date", "company", shown("stage").alias("stage"), shown("raise_amount").alias("amount"),
+    return numbered(e, "event_date", "t", "pos", place="row_no").select(
+        "pos", "row_no", "event_date", "company", shown("stage").alias("stage"), shown("raise_amount").alias("amount"),
         F.coalesce(F.nullif("url", F.lit("")), F.get("sources", F.lit(0))).alias("link"), F.array_join(labels, " ").alias("source_labels"),
     )
 

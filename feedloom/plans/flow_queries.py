@@ -10,6 +10,7 @@ from feedloom import vocab
 from feedloom.functions.text import filled, first_filled, significant_words
 from feedloom.operators import rules, stories
 from feedloom.operators.collection import collect_posts
+from feedloom.operators.ranking import numbered, ranked
 from feedloom.operators.simjoin import classes_of, similar_pairs
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
@@ -54,8 +55,8 @@ def account_health(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add("SELECT event_id, user_id, rn FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 8")
 def per_account_cap(spark: SparkSession, d: str) -> DataFrame:
-    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("bigint")
-    return table(spark, d, "events").withColumn("rn", rn).filter("rn <= 8").select("event_id", "user_id", "rn")
+    rows = ranked(table(spark, d, "events").select("event_id", "user_id", "ts"), ["user_id"], "ts", "event_id", rank="rn")
+    return rows.filter("rn <= 8").select("event_id", "user_id", "rn")
 
 
 @R.add()
@@ -147,9 +148,8 @@ def insight_index_join(spark: SparkSession, d: str) -> DataFrame:
     """Articles of an insight by their place, out-of-range places dropped, order of the places kept."""
     i = spark.createDataFrame([("a", 3, [5, 1, 400]), ("b", 5, [2, 99999999, 7]), ("c", 5, [3])], "theme string, strength int, idx array<long>")
     wanted = i.select("theme", "strength", F.posexplode("idx").alias("ord", "place"))
-    # places are given by rank of pos: counted by partitions of a range-sorted table, so no single task numbers all rows
-    ranked = table(spark, d, "summarized_articles").select("pos").orderBy("pos").rdd.map(lambda r: r[0]).zipWithIndex().toDF("pos bigint, place bigint")
-    j = wanted.join(ranked, "place", "left").groupBy("theme", "strength").agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("ord", "pos")))).alias("l"))
+    places = numbered(table(spark, d, "summarized_articles").select("pos"), "pos").withColumn("place", F.col("place") - 1)
+    j = wanted.join(places, "place", "left").groupBy("theme", "strength").agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("ord", "pos")))).alias("l"))
     out = j.select("theme", "strength", F.array_join(F.transform("l", lambda x: x["pos"].cast("string")), ",").alias("articles"))
     return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("strength"), "theme")).cast("bigint"))
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import vocab
 from feedloom.functions.text import filled, first_filled
 from feedloom.operators import rules
+from feedloom.operators.ranking import ranked
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
 from feedloom.session import table
@@ -37,22 +38,22 @@ def report_ai_news(spark: SparkSession, d: str) -> DataFrame:
         rules.signal_score(F.col("relevance")).alias("signal"), F.coalesce(first_filled("summary", "description", "title"), F.lit("")).alias("body"), canonical_url(F.col("url")).alias("canon"),
     )
     first = kept.groupBy("canon").agg(F.min("pos").alias("pos")).select("pos")
-    w = Window.partitionBy("group_no").orderBy(F.desc("signal"), "p", "pos")
-    return kept.join(first, "pos").select("group_no", F.row_number().over(w).cast("bigint").alias("row_no"), "pos", "title", "url", "signal", "body")
+    rows = ranked(kept.join(first, "pos"), ["group_no"], F.desc("signal"), "p", "pos", rank="row_no")
+    return rows.select("group_no", "row_no", "pos", "title", "url", "signal", "body")
 
 
 @R.add(f"""WITH x AS (SELECT pos, title, {S.ordered_class(S.padded(), (('半导体', vocab.SEMICONDUCTOR_WORDS), ('机器人', vocab.ROBOTICS_WORDS), ('新能源', vocab.ENERGY_WORDS)), '其他')} AS sector, {S.signal('relevance')} AS signal, coalesce(published_at, '') AS p FROM summarized_articles)
     SELECT sector, pos, title, signal, row_number() OVER (PARTITION BY sector ORDER BY p, pos) AS row_no FROM x WHERE signal >= 3""")
 def report_deeptech(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "summarized_articles").select("pos", "title", rules.deeptech_class().alias("sector"), rules.signal_score(F.col("relevance")).alias("signal"), filled("published_at").alias("p")).filter("signal >= 3")
-    return x.select("sector", "pos", "title", "signal", F.row_number().over(Window.partitionBy("sector").orderBy("p", "pos")).cast("bigint").alias("row_no"))
+    return ranked(x, ["sector"], "p", "pos", rank="row_no").select("sector", "pos", "title", "signal", "row_no")
 
 
 @R.add("""WITH x AS (SELECT pos, title, coalesce(nullif(category, ''), '行业动态') AS category, coalesce(published_at, '') AS p FROM (SELECT * FROM summarized_articles))
     SELECT category AS section, pos, title, row_number() OVER (PARTITION BY category ORDER BY p, pos) AS row_no FROM x WHERE category IN ('行业动态', '融资新闻')""")
 def report_consumer(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "summarized_articles").select("pos", "title", F.coalesce(F.nullif("category", F.lit("")), F.lit("行业动态")).alias("section"), filled("published_at").alias("p"))
-    return x.filter(F.col("section").isin("行业动态", "融资新闻")).select("section", "pos", "title", F.row_number().over(Window.partitionBy("section").orderBy("p", "pos")).cast("bigint").alias("row_no"))
+    return ranked(x.filter(F.col("section").isin("行业动态", "融资新闻")), ["section"], "p", "pos", rank="row_no").select("section", "pos", "title", "row_no")
 
 
 @R.add(f"""SELECT {S.ordered_class(S.padded(), (('OpenAI', vocab.OPENAI_WORDS), ('Anthropic', vocab.ANTHROPIC_WORDS), ('BigTech', vocab.BIGTECH_WORDS)), 'Other')} AS lab_group, content_type, count(*) AS n FROM summarized_articles GROUP BY ROLLUP (1, 2)""")

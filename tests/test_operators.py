@@ -166,3 +166,19 @@ def test_streaming(spark, tmp_path):
     q = windowed_counts(stream, "ts", "g").writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert {(r.g, r.n) for r in spark.sql("select g, n from w").collect()} == {("a", 2), ("b", 1)}
+
+
+def test_ranked(spark):
+    from feedloom.operators.ranking import numbered, ranked
+
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["a", "a", "b", None]), rng.randrange(50)) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, g string, v int").repartition(7)
+    got = {r.i: r["rank"] for r in ranked(df, ["g"], F.desc("v"), "i").collect()}
+    want = {}
+    for g in ("a", "b", None):
+        for k, (i, _, _) in enumerate(sorted((r for r in rows if r[1] == g), key=lambda r: (-r[2], r[0])), 1):
+            want[i] = k
+    assert got == want
+    assert [r.place for r in numbered(df, "i").orderBy("i").collect()] == list(range(1, 301))
+    assert ranked(df.limit(0), ["g"], "i").count() == 0
