@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import deals as D
 from feedloom.functions import urls
 from feedloom.functions.text import filled
 from feedloom.operators import grounding
-from feedloom.operators.ranking import numbered
+from feedloom.operators.ranking import numbered, running_total, with_next
 from feedloom.operators.rounds import merge_rounds
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
@@ -69,9 +69,10 @@ def funding_merge(spark: SparkSession, d: str) -> DataFrame:
     SELECT k, CAST(island AS BIGINT) AS island, min(day) AS first_day, max(day) AS last_day, count(*) AS n FROM i GROUP BY k, island""")
 def funding_gap_islands(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "funding_events").select("pos", D.company_key(F.col("company")).alias("k"), D.event_day(F.col("event_date")).alias("day"), "company").filter(F.col("day").isNotNull() & (F.trim(filled("company")) != ""))
-    w = Window.partitionBy("k").orderBy("day", "pos")
-    g = e.withColumn("fresh", F.when(F.datediff("day", F.lag("day").over(w)) <= 3, 0).otherwise(1))
-    g = g.withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # a report opens an island unless the one before it is at most three days older; that is told from the row that follows
+    e = e.select("k", "day", "pos")
+    opened = with_next(e, ["k"], ["day", "pos"], ["pos", "day"]).filter("next_pos is not null and datediff(next_day, day) <= 3").select(F.col("next_pos").alias("pos"), F.lit(0).alias("fresh"))
+    g = running_total(e.join(opened, "pos", "left").withColumn("fresh", F.coalesce("fresh", F.lit(1))), ["k"], ["day", "pos"], "fresh", total="island")
     return g.groupBy("k", "island").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("n"))
 
 

@@ -10,7 +10,7 @@ from feedloom import vocab
 from feedloom.functions.text import filled, first_filled, significant_words
 from feedloom.operators import rules, stories
 from feedloom.operators.collection import collect_posts
-from feedloom.operators.ranking import numbered, ranked
+from feedloom.operators.ranking import numbered, ranked, with_next
 from feedloom.operators.simjoin import classes_of, similar_pairs
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
@@ -90,9 +90,9 @@ def reject_tally_ranked(spark: SparkSession, d: str) -> DataFrame:
 @R.add("""WITH p AS (SELECT user_id, event_type, epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) - epoch_us(ts) AS us FROM events)
     SELECT event_type AS phase, count(us) AS n, round(sum(us) / 1e6, 3) AS seconds FROM p GROUP BY event_type""")
 def phase_durations(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    us = lambda c: F.unix_micros(c.cast("timestamp"))
-    p = table(spark, d, "events").select("event_type", (us(F.lead("ts").over(w)) - us(F.col("ts"))).alias("us"))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = table(spark, d, "events").select("user_id", "event_type", "ts", "event_id", us.alias("us"))
+    p = with_next(rows, ["user_id"], ["ts", "event_id"], ["us"]).select("event_type", (F.col("next_us") - F.col("us")).alias("us"))
     return p.groupBy(F.col("event_type").alias("phase")).agg(F.count("us").alias("n"), F.round(F.sum("us") / 1e6, 3).alias("seconds"))
 
 
