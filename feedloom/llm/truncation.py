@@ -44,19 +44,25 @@ class TruncationConfig:
     threshold: float = 0.5
 
 
-_RUN = re.compile(r"(?<![A-Za-zÀ-ÿ])[A-ZÀ-Þ][A-Za-zÀ-ÿ’'-]*(?: (?:& )?[A-ZÀ-Þ][A-Za-zÀ-ÿ’'-]*)+")
+_RUN = re.compile(r"(?<![A-Za-zÀ-ÿ])([A-ZÀ-Þ][A-Za-zÀ-ÿ’'-]*(?: (?:& )?[A-ZÀ-Þ][A-Za-zÀ-ÿ’'-]*)+)")
 _NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 _URL = re.compile(r"https?://\S*|www\.\S+")
 #: Ends of units inside a text.
 _SPLIT = re.compile(
     r"(?<=[.!?])[\"”»’)]*(?=\s)|(?<=[。！？])[”」»]?|\n|\r|(?=https?://)|(?=\s[#@]\w)|\s?(?=[☀-➿⬀-⯿\U0001F000-\U0001FAFF])|(?<=[☀-➿⬀-⯿\U0001F000-\U0001FAFF])\s?|(?=\s\(\d+/[\dn]\)|\s\d/[\dn]\b)|(?<=\(\d/[\dn]\))|(?<=\s\d/[\dn])(?=\s)"
 )
+#: The same for texts without links, tags, signs and counters.
+_PLAIN_SPLIT = re.compile(r"(?<=[.!?])\s+|(?<=[.!?][\"”»’)])\s+|(?<=[。！？])[”」»]?|[\n\r]")
+_DECORATED = re.compile(r"[#@☀-➿⬀-⯿\U0001F000-\U0001FAFF]|https?:|\d/[\dn]")
 #: Marks that follow a cut.
 _MARK = re.compile(
     r"\s*(?:\[?(?:…|\.{3,}|……)\]?\s*)?(?:\[\+\s?\d+ ?(?:chars?|characters|字符?|Zeichen|caractères|caracteres)\]|\[(?:truncated|cut|more|gekürzt|tronqué|recortado|cortado|…|\.\.\.)\]|\((?:more|continued|truncated)\)|(?:read|see|show) more|continue reading|weiterlesen|mehr lesen|lire la suite|leer más|seguir leyendo|ler mais|leia mais|阅读全文|查看全文|展开全文|全文)[\s.…»>→]*$|\s*(?:…+|\.{3,}|……)\s*$",
     re.IGNORECASE,
 )
 _BROKEN = re.compile(r"<(?:/?[A-Za-z][^<>\n]{0,200})?$|&(?:#\w{0,6}|[a-z]{2,6})$|\[[^\]\n]{0,60}\]\([^)\n]{0,200}$|�+\s*$")
+#: One of these, in lower case, stands in every mark of a cut.
+_MARK_HINTS = ("…", "...", "[", "(more", "(cont", "(trunc", "more", "reading", "lesen", "la suite", "leer m", "leyendo", "mais", "全文")
+_TAIL = 600
 _LINKS_AFTER = re.compile(r"(?:\s*https?://\S+)+$")
 _DONE = re.compile(r"[.!?。！？][\"”»’)」]*$")
 _DECORATION = re.compile(r"(?:\s*(?:[#@][\w.-]+|\(\d+/[\dn]+\)|\b\d+/[\dn]\b|[☀-➿⬀-⯿\U0001F000-\U0001FAFF‍️]+))+\s*$")
@@ -64,8 +70,10 @@ _HAN = re.compile(r"([一-鿿])")
 _TOKEN = re.compile(r"[一-鿿]|[^\s一-鿿]+")
 
 
-def _mask(text: str) -> str:
-    return _NUMBER.sub("9", _RUN.sub("¤", text))
+def _mask(text: str) -> tuple[str, list[str]]:
+    """The text with names and figures masked, and the names."""
+    parts = _RUN.split(text)
+    return _NUMBER.sub("9", "¤".join(parts[::2])), parts[1::2]
 
 
 def _tokens(unit: str) -> list[str]:
@@ -91,7 +99,8 @@ def _url_shape(url: str) -> tuple[str, str]:
 
 
 def _units(text: str) -> list[str]:
-    return [u for u in (x.strip() for x in _SPLIT.split(text)) if u]
+    split = _SPLIT if _DECORATED.search(text) else _PLAIN_SPLIT
+    return [u for u in (x.strip() for x in split.split(text)) if u]
 
 
 def _evidence():
@@ -103,34 +112,37 @@ def _evidence():
             last: list[tuple] = []
             for tab, pos, source, text in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
                 size = len(text)
-                for u in _URL.findall(text):
+                for u in _URL.findall(text) if "http" in text or "www." in text else ():
                     k = "\x02" + "|".join(_url_shape(u.rstrip(".,;:)")))
                     whole[k] = whole.get(k, 0) + 1
-                masked = _mask(text)
-                for run_ in _RUN.findall(text):
+                masked, runs = _mask(text)
+                for run_ in runs:
                     for w in run_.split(" "):
                         w = "\x01" + w
                         whole[w] = whole.get(w, 0) + 1
                 end = text.rstrip()
                 state, core, marked = "open", end, False
-                if m := _BROKEN.search(end):
+                # marks stand at the very end: their patterns need not try every place of a long text
+                head, last_part = end[:-_TAIL], end[-_TAIL:]
+                hint = any(x in last_part[-60:].lower() for x in _MARK_HINTS)
+                if any(x in last_part for x in "<&[\ufffd") and _BROKEN.search(last_part):
                     state = "cut"
-                elif m := _MARK.search(end):
-                    marked, core = True, end[: m.start()].rstrip()
-                elif (bare := _LINKS_AFTER.sub("", end)) != end and (m := _MARK.search(bare)):
-                    marked, core = True, bare[: m.start()].rstrip()
+                elif hint and (m := _MARK.search(last_part)):
+                    marked, core = True, (head + last_part[: m.start()]).rstrip()
+                elif "http" in last_part and (bare := _LINKS_AFTER.sub("", last_part)) != last_part and (m := _MARK.search(bare)):
+                    marked, core = True, (head + bare[: m.start()]).rstrip()
                 if state == "open":
                     tail = core.rsplit(None, 1)[-1] if core else ""
                     if tail.startswith(("http:", "https:", "htt")) or _URL.match(tail):
                         state = "url"
                     else:
-                        bare = _DECORATION.sub("", core).rstrip()
+                        bare = (core[:-_TAIL] + _DECORATION.sub("", core[-_TAIL:])).rstrip()
                         if not bare:
                             state = "done"
                         elif bare != core:
                             # signs, tags or a counter follow: what stands before them ends a unit
-                            state = "tag" if re.search(r"[#@][\w.-]*$", core) else "done"
-                        elif _DONE.search(core):
+                            state = "tag" if tail[:1] in "#@" else "done"
+                        elif _DONE.search(core[-20:]):
                             state = "done"
                 units = _units(masked.rstrip())
                 for u in units[:-1]:
@@ -139,7 +151,7 @@ def _evidence():
                     whole[units[-1]] = whole.get(units[-1], 0) + 1
                 fragment = name = ""
                 if state == "open":
-                    got = _units(_mask(core))
+                    got = _units(_mask(core)[0])
                     fragment = got[-1] if got else ""
                     words = core.split(" ")
                     name = words[-1] if words and _RUN.search(" ".join(words[-2:])) and fragment.endswith("¤") else ""
