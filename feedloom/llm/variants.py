@@ -111,6 +111,17 @@ def _near(word: str, known: dict) -> str | None:
     return found.pop() if len(found) == 1 else None
 
 
+def _given_name(word: str) -> str | None:
+    """A given name or short form as typed, or the one full name that all names within one edit stand for."""
+    if word in _GIVEN:
+        return word
+    if len(word) < 4:
+        return None
+    full = [set(_GIVEN[k]) for k in _GIVEN if len(k) >= 4 and abs(len(k) - len(word)) <= 1 and one_edit(word, k)]
+    common = set.intersection(*full) if full else set()
+    return common.pop() if len(common) == 1 else None
+
+
 def _descriptor(word: str) -> str:
     bare = word.rstrip(".")
     if bare in _ALIAS:
@@ -138,9 +149,9 @@ def normal_form(spelling: str, field: str) -> Form | None:
         first, last = fold(m.group(2)).lower(), fold(m.group(1)).lower()
         if len(first.rstrip(".")) == 1:
             return Form("P", (first[0] + ".", last))
-        given = _near(first, _GIVEN)
+        given = _given_name(first)
         if given:
-            return Form("P", (first if given is None else given, last))
+            return Form("P", (given, last))
     m = _FIRM.match(s)
     if m and _descriptor(m.group(1).lower()):
         s = f"{m.group(2)} {m.group(1)}"
@@ -175,10 +186,10 @@ def _person(words: list[str], nick: str | None) -> Form | None:
     a, b = words
     if len(a.rstrip(".")) == 1 and len(b) > 2:
         return Form("P", (a[0] + ".", b))
-    given = _near(a, _GIVEN)
+    given = _given_name(a)
     if given:
         return Form("P", (given, b))
-    other = _near(b, _GIVEN)
+    other = _given_name(b)
     if other:
         return Form("P", (other, a))
     return None
@@ -373,7 +384,7 @@ def resolve(spellings: DataFrame, cfg: VariantConfig | None = None) -> DataFrame
 def name_spellings(funding_events: DataFrame) -> DataFrame:
     """field, spelling of the company names and of the investors' names."""
     unknown = sorted(UNKNOWN_WORDS)
-    company = funding_events.select(F.lit("company").alias("field"), F.regexp_replace("company", r"^[\s ]+|[\s ]+$", "").alias("spelling"))
+    company = funding_events.select(F.lit("company").alias("field"), F.regexp_replace("company", r"^[\s\x{a0}\x{3000}]+|[\s\x{a0}\x{3000}]+$", "").alias("spelling"))
     company = company.filter(F.col("spelling").isNotNull() & ~F.lower("spelling").isin(*unknown))
     return company.unionByName(investors(funding_events).select(F.lit("investors").alias("field"), F.col("investor").alias("spelling")))
 
