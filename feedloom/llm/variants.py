@@ -10,9 +10,10 @@ profile, the union of its members' forms, initials and acronyms, enters blocking
   full cluster has the key.
 
 Merged clusters have richer profiles, so a typo of a shortened name finds its entity one round later; rounds go on until
-nothing merges. Blocks link as stars to their first cluster, never as all pairs, and only counts, minima and maxima of a
-block are aggregated, so a hot key is pre-aggregated and costs one row a partition. Clusters are joined by minimum-label
-propagation with checkpoints.
+nothing merges. Blocks of equal keys link as stars to their first cluster, and only counts, minima and maxima of a block are
+aggregated, so a hot key is pre-aggregated and costs one row a partition. In a deletion block all distinct names are compared, as
+one edit is not transitive; such a block holds at most the names that one more letter makes of its key, whatever the number of rows.
+Clusters are joined by minimum-label propagation with checkpoints.
 
 Defined results: null and blank names and unknown-words are no names; spellings that are equal need no pair; a name that fits
 two entities is linked to neither. Each pair of different spellings of an entity is one row, name_a < name_b in code point order.
@@ -340,7 +341,12 @@ def round_edges(members: DataFrame) -> DataFrame:
     ).filter("low <> high")
     joined = rows.join(blocks, "key")
     strong = joined.filter("role = 'full' and first is not null").select(F.col("cid").alias("a"), F.col("first.cid").alias("b"))
-    typo = joined.filter("role = 'typo' and first is not null and cid <> first.cid").select(F.col("cid").alias("a"), F.col("first.cid").alias("b"), F.col("name").alias("x"), F.col("first.name").alias("y"))
+    # one edit is not transitive: every two names of a deletion block are compared, one row a name (equal names are linked by their whole name)
+    typos = rows.filter("role = 'typo'").groupBy("key", "name").agg(F.min("cid").alias("cid"))
+    several = typos.groupBy("key").agg(F.min("name").alias("n0"), F.max("name").alias("n1"), F.min("cid").alias("c0"), F.max("cid").alias("c1")).filter("n0 <> n1 and c0 <> c1").select("key")
+    typos = typos.join(several, "key", "left_semi")
+    other = typos.select("key", F.col("name").alias("y"), F.col("cid").alias("b"))
+    typo = typos.join(other, "key").filter("name < y and cid <> b").select(F.col("cid").alias("a"), "b", F.col("name").alias("x"), "y").distinct()
     # a shortened name links where exactly one full cluster has the key
     short = joined.filter("role = 'short' and first is not null and first.cid = last").select(F.col("cid").alias("a"), F.col("first.cid").alias("b"))
     # shortened names of one spelling but no full cluster link among themselves

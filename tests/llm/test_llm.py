@@ -75,6 +75,13 @@ def test_variants(spark):
     assert variants.resolve(spark.createDataFrame([], "field string, spelling string")).count() == 0
 
 
+def test_typos_link_past_an_unrelated_first(spark):
+    # all three share a deletion key; the first is two edits from the others, which are one edit apart
+    rows = [("company", 1, "Vansonq Banmenten Robotics"), ("company", 2, "Vabnson Banmenten Robotics"), ("company", 3, "Vacnson Banmenten Robotics")]
+    edges = variants.round_edges(spark.createDataFrame(rows, "field string, cid bigint, spelling string")).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in edges} == {(2, 3)}
+
+
 def test_one_edit_is_damerau():
     rng = random.Random(5)
 
