@@ -57,6 +57,30 @@ def same_round_pairs(spark: SparkSession, d: str) -> DataFrame:
     return both.select(F.col("pa").alias("pos_a"), F.col("pb").alias("pos_b"), D.same_round(*[F.col(c) for c in ("sa", "aa", "da", "sb", "ab", "db")]).alias("same_round"))
 
 
+@R.add(f"""WITH e AS (SELECT pos, {S.company_key('company')} AS k, {S.stage('stage')} AS s, {S.amount('raise_amount')} AS a, {_DAY} AS day FROM funding_events WHERE trim(coalesce(company, '')) <> ''),
+    p AS (SELECT x.pos AS pos_a, y.pos AS pos_b, x.s AS sa, y.s AS sb, x.a AS aa, y.a AS ab, x.day AS da, y.day AS db FROM e x JOIN e y ON x.k = y.k AND x.pos < y.pos)
+    SELECT pos_a, pos_b FROM p WHERE CASE WHEN sa <> '' AND sb <> '' AND sa <> sb THEN false WHEN aa <> '' AND ab <> '' AND aa <> ab THEN false
+      WHEN (aa <> '' AND aa = ab) OR (sa <> '' AND sa = sb) THEN true WHEN da IS NOT NULL AND db IS NOT NULL THEN abs(date_diff('day', da, db)) <= 3 ELSE true END""")
+def same_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of reports of one company that tell of one round, however far apart: equal stages and equal amounts are joined by key, only pairs that neither decides by days."""
+    e = table(spark, d, "funding_events").filter(F.trim(filled("company")) != "")
+    e = e.select("pos", D.company_key(F.col("company")).alias("k"), D.stage_key(F.col("stage")).alias("s"), D.round_amount(F.col("raise_amount")).alias("a"), D.event_day(F.col("event_date")).alias("day"))
+    bucket = F.floor(F.datediff("day", F.lit("1970-01-01")) / 4).alias("b")
+    x = e.select(F.col("pos").alias("pa"), "k", F.col("s").alias("sa"), F.col("a").alias("aa"), F.col("day").alias("da"))
+    y = e.select(F.col("pos").alias("pb"), "k", F.col("s").alias("sb"), F.col("a").alias("ab"), F.col("day").alias("db"))
+    cols = ["pa", "sa", "aa", "da", "pb", "sb", "ab", "db"]
+    stage = x.filter("sa <> ''").withColumn("j", F.col("sa")).join(y.withColumn("j", F.col("sb")), ["k", "j"]).select(cols)
+    amount = x.filter("aa <> ''").withColumn("j", F.col("aa")).join(y.withColumn("j", F.col("ab")), ["k", "j"]).filter("sa = '' or sb = ''").select(cols)
+    # undecided pairs: a stage and an amount are missing on one side or the other
+    near = e.filter("day is not null")
+    near_x = near.select(F.col("pos").alias("pa"), "k", F.col("s").alias("sa"), F.col("a").alias("aa"), F.col("day").alias("da"), F.explode(F.array(*[F.floor(F.datediff("day", F.lit("1970-01-01")) / 4) + i for i in (-1, 0, 1)])).alias("b"))
+    near_y = near.select(F.col("pos").alias("pb"), "k", F.col("s").alias("sb"), F.col("a").alias("ab"), F.col("day").alias("db"), bucket)
+    undated = x.join(y.filter("db is null"), "k").select(cols).unionByName(x.filter("da is null").join(y.filter("db is not null"), "k").select(cols))
+    rest = near_x.join(near_y, ["k", "b"]).select(cols).unionByName(undated).filter("(sa = '' or sb = '') and (aa = '' or ab = '')")
+    both = stage.unionByName(amount).unionByName(rest).filter("pa < pb")
+    return both.filter(D.same_round(*[F.col(c) for c in ("sa", "aa", "da", "sb", "ab", "db")])).select(F.col("pa").alias("pos_a"), F.col("pb").alias("pos_b"))
+
+
 @R.add()
 def funding_merge(spark: SparkSession, d: str) -> DataFrame:
     out = merge_rounds(table(spark, d, "funding_events"))

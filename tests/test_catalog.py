@@ -44,6 +44,16 @@ def test_query(spark, small, duck, name):
         assert got == _rows(duck.sql(S[name]).df())
 
 
+def test_same_rounds_far_apart(spark, tmp_path):
+    rows = [(1, "Acme", "Series A", "$5M", "2026-01-01"), (2, "ACME", "Series A", "", "2026-06-01"), (3, "Acme", "", "$5M", "2026-09-01"), (4, "Acme", "Series B", "$5M", "2026-01-02"), (5, "Acme", "", "", "2026-09-03"), (6, "Acme", "", "", ""), (7, "Other", "Series A", "$5M", "2026-01-01")]
+    spark.createDataFrame(rows, "pos bigint, company string, stage string, raise_amount string, event_date string").write.parquet(str(tmp_path / "funding_events.parquet"))
+    got = sorted(tuple(r) for r in Q["same_rounds"](spark, str(tmp_path)).collect())
+    assert got == [(1, 2), (1, 3), (1, 6), (2, 6), (3, 4), (3, 5), (3, 6), (4, 6), (5, 6)]
+    c = duckdb.connect()
+    c.sql(f"create view funding_events as select * from read_parquet('{tmp_path}/funding_events.parquet/*.parquet')")
+    assert got == sorted(c.sql(S["same_rounds"]).fetchall())
+
+
 def test_entry(spark, small):
     import __spark_entry__ as E
 
