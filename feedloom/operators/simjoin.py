@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def similar_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+def similar_pairs(sets: DataFrame, threshold: float, among: DataFrame | None = None) -> DataFrame:
     """(a, b, similarity), a < b, of all pairs of rows of ``sets`` (id, words) at ``threshold`` or above.
 
-    Null and empty sets match nothing. Representatives of equal sets only; see :func:`classes_of` for the members.
+    Null and empty sets match nothing. With ``among`` (id) only pairs that hold one of its rows. Representatives of equal sets only; see :func:`classes_of` for the members.
     """
     from math import log
 
@@ -27,7 +27,10 @@ def similar_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     step = log(1 / threshold) if threshold < 1 else 1.0
     band = F.floor(F.log(n.cast("double")) / step).cast("int")
     prefix = ranked.select("id", n.alias("n"), band.alias("band"), F.explode(F.slice("ws", 1, F.greatest(keep, F.lit(1)))).alias("w"))
-    left = prefix.select(F.col("id").alias("a"), F.col("n").alias("na"), "w", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band")).withColumn("own", F.lit(True))
+    # rows of one side only must meet smaller sets too
+    own = prefix if among is None else prefix.join(among.select("id"), "id", "left_semi")
+    bands = [F.col("band") + i for i in ((0, 1) if among is None else (-1, 0, 1))]
+    left = own.select(F.col("id").alias("a"), F.col("n").alias("na"), "w", F.explode(F.array(*bands)).alias("band")).withColumn("own", F.lit(True))
     right = prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), "w", "band")
     near = left.join(right, ["w", "band"]).filter(f"nb >= na * {threshold} and na >= nb * {threshold} and a <> b")
     pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -3,12 +3,15 @@
 The fold keeps the first row of a story, lets a richer repeat take its place, and matches by address, by wording, by
 similarity of words and by shared names and figures. Rows can only meet if a chain of necessary conditions connects them, so the
 fold runs inside the connected components of these edges: same address, same wording, similarity of words at the threshold, and, for rows
-that hold two marks seen in an earlier row with a strong one among them, a weak similarity. Copies of one row are reduced to one before the
+that hold two marks, a strong one among them, that are each seen in some earlier row, a weak similarity. Copies of one row are reduced to one before the
 similarity join.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from math import ceil
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,9 +60,17 @@ def _jaccard(a: set, b: set) -> float:
     return len(a & b) / len(a | b) if a and b else 0.0
 
 
+def _prefix(words: set, threshold: float) -> list[str]:
+    """Words of which two sets at the threshold share one: the first of an order in which long words, mostly rare, come first."""
+    keep = len(words) - ceil(len(words) * threshold - 1e-9) + 1
+    return sorted(words, key=lambda w: (-len(w), w))[:keep]
+
+
 def fold_stories(rows: list[dict], threshold: float = 0.55, floor: float = 0.25, abundant_floor: float = 0.10) -> list[tuple[int, int, int, str]]:
     """(pos, slot, survivor, kind) of each row of one component, rows in order of pos; slot is the first row of the story."""
     stories: list[dict] = []
+    by_prefix: dict[str, set[int]] = {}
+    by_mark: dict[str, set[int]] = {}
     by_url: dict[str, int] = {}
     by_text: dict[str, int] = {}
     placed: list[tuple[int, int, str]] = []
@@ -71,7 +82,11 @@ def fold_stories(rows: list[dict], threshold: float = 0.55, floor: float = 0.25,
         elif r["exact"] and r["exact"] in by_text:
             hit, kind = by_text[r["exact"]], "same text"
         else:
-            for i, s in enumerate(stories):
+            # only stories with a common word among the first ones, or with two common marks, can match
+            close = set().union(*[by_prefix.get(w, ()) for w in _prefix(words, threshold)])
+            common = Counter(i for m in marks for i in by_mark.get(m, ()))
+            for i in sorted(close.union(i for i, n in common.items() if n >= 2)):
+                s = stories[i]
                 near = _jaccard(words, s["words"])
                 if near >= threshold:
                     hit, kind = i, "near text"
@@ -88,18 +103,26 @@ def fold_stories(rows: list[dict], threshold: float = 0.55, floor: float = 0.25,
                 by_url[r["canon"]] = hit
             if r["exact"]:
                 by_text[r["exact"]] = hit
+            for w in _prefix(words, threshold):
+                by_prefix.setdefault(w, set()).add(hit)
         else:
             s = stories[hit]
             s["marks"] = s["marks"] | marks
             if rich > s["rich"]:
+                for w in _prefix(s["words"], threshold):
+                    by_prefix[w].discard(hit)
+                for w in _prefix(words, threshold):
+                    by_prefix.setdefault(w, set()).add(hit)
                 if r["canon"] and (not s["canon"] or by_url.get(s["canon"]) == hit):
                     by_url[r["canon"]] = hit
                 s.update(words=words, summary=summary, rich=rich, survivor=r["pos"], canon=r["canon"] or s["canon"])
+        for m in marks:
+            by_mark.setdefault(m, set()).add(hit)
         placed.append((r["pos"], hit, kind))
     return [(pos, stories[i]["slot"], stories[i]["survivor"], kind) for pos, i, kind in placed]
 
 
-def story_edges(f: DataFrame, threshold: float, match: str) -> DataFrame:
+def story_edges(f: DataFrame, threshold: float, match: str, floor: float = 0.25, abundant_floor: float = 0.10) -> DataFrame:
     """(a, b) of the necessary conditions."""
     firsts = lambda key: f.filter(F.col(key) != "").groupBy(key).agg(F.min("pos").alias("b"))
     same = lambda key: f.select("pos", key).join(firsts(key), key).filter("pos <> b").select(F.col("pos").alias("a"), "b")
@@ -110,19 +133,27 @@ def story_edges(f: DataFrame, threshold: float, match: str) -> DataFrame:
     edges = same("canon").unionByName(same("exact")).unionByName(equal).unionByName(near)
     if match == "near":
         return edges
-    # two shared marks, one of them strong: every such pair of marks is a key, joined as a star to its first row
-    pairs = f.select("pos", F.explode(F.filter("marks", lambda m: F.substring(m, 1, 1).isin("n", "m"))).alias("m"), "marks").select("pos", "m", F.explode("marks").alias("o")).filter("m <> o")
-    keys = pairs.select("pos", F.xxhash64("m", "o").alias("k")).distinct()
-    first = keys.groupBy("k").agg(F.min("pos").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = keys.join(first, "k").filter("pos <> b").select(F.col("pos").alias("a"), "b").distinct()
-    return edges.unionByName(shared)
+    # a mark is shared with a story if any of its rows holds it, so each mark may come from another earlier row: marks are counted by their first rows
+    held = f.select("pos", F.explode("marks").alias("m"))
+    old = held.join(held.groupBy("m").agg(F.min("pos").alias("first")), "m").filter("first < pos")
+    seen = old.groupBy("pos").agg(F.count(F.lit(1)).alias("n"), F.max(F.substring("m", 1, 1).isin("n", "m")).alias("strong")).filter("n >= 2 and strong")
+    for words in ("words", "summary_words"):
+        sets = f.select(F.col("pos").alias("id"), F.col(words).alias("words"))
+        classes = classes_of(sets)
+        edges = edges.unionByName(classes.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
+        sets = sets.join(classes.filter("id = rep").select("id"), "id", "left_semi")
+        # two shared marks ask for the floor, three or more for the lower one
+        for own, least in ((seen.filter("n = 2"), floor), (seen.filter("n > 2"), abundant_floor)):
+            among = classes.join(own.select(F.col("pos").alias("id")), "id", "left_semi").select(F.col("rep").alias("id")).distinct()
+            edges = edges.unionByName(similar_pairs(sets, least, among).select("a", "b"))
+    return edges
 
 
 def dedupe_stories(articles: DataFrame, threshold: float = 0.55, match: str = "full") -> DataFrame:
     """pos, slot, survivor, kind of every article: the story that it belongs to, the row that stands for it and how it was matched.
 
-    ``match="near"`` leaves out the matching by shared names and figures. Where a few names occur in most stories that matching links most of
-    the input into one component, which has to be folded in order by one task; then only "near" scales.
+    ``match="near"`` leaves out the matching by shared names and figures, so that duplicates told in other words stay apart. Where weak similarity
+    links most of the input into one component, "full" folds that component in order in one task.
     """
     if match not in ("full", "near"):
         raise ValueError("match is full or near")

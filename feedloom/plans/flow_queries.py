@@ -266,7 +266,7 @@ def jaccard_near_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add()
 def dedupe_greedy(spark: SparkSession, d: str) -> DataFrame:
-    return stories.dedupe_stories(table(spark, d, "summarized_articles"), match="near")
+    return stories.dedupe_stories(table(spark, d, "summarized_articles"), match="full")
 
 
 @R.add()

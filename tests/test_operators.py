@@ -106,6 +106,20 @@ def test_story_fold_equals_fold_over_all_rows(spark, match):
     assert got == want
 
 
+def test_dedupe_unites_marks_of_a_story(spark):
+    # the third row shares one name with each of the first two, which are one story
+    same = "alpha beta gamma delta epsilon zeta theta kappa lambda sigma omicron"
+    rows = [
+        (1, f"Deal by Orion Partners {same}", "", "", "u1", None, None, None),
+        (2, f"Deal by Vega Capital {same}", "", "", "u2", None, None, None),
+        (3, "Orion Partners with Vega Capital alpha beta gamma delta epsilon other words here", "", "", "u3", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, ARTICLE)
+    want = sorted(fold_stories([r.asDict() for r in features(df).orderBy("pos").collect()]))
+    assert {slot for _, slot, _, _ in want} == {1} and want[2][3] == "same story"
+    assert sorted((r.pos, r.slot, r.survivor, r.kind) for r in dedupe_stories(df).collect()) == want
+
+
 def test_title_dedup(spark):
     df = spark.createDataFrame(
         [(1, "Acme opens a big lab", "d", "c", "u1", None, None, None), (2, "Acme opens a big lab now", "d", "longer", "u2", None, None, None), (3, "Other thing", "d", "c", "u1", None, None, None), (4, None, None, None, None, None, None, None), (5, "Different words here", "d", "c", "u3", None, None, None)], ARTICLE
