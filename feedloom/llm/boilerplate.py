@@ -62,6 +62,7 @@ _HEADING = re.compile(rf"^(?:{LIST_HEADINGS})[:：]?$", re.IGNORECASE)
 _READ_ALSO = re.compile(rf"^(?:{READ_ALSO})\s?[:：]\s?\S", re.IGNORECASE)
 _PHRASE = re.compile(PHRASES, re.IGNORECASE)
 _SEPARATOR = re.compile(r"\s[|·/•»]\s|\s{2,}|\s?｜\s?")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
 _ENDS = frozenset(".!?。！？…;；:：,，\"”»」)’")
 _MARKS = (" | ", " · ", " / ", " • ", " » ", "  ", "｜")
 #: Every match of PHRASES holds one of these, in lower case.
@@ -156,16 +157,23 @@ class Extractor:
         if ":" in line[:25] or "：" in line[:12]:
             if _READ_ALSO.match(line):
                 return 1
-        if len(line) < 260 and not ended and any(x in line for x in _MARKS):
+        if not ended and any(x in line for x in _MARKS):
             items = [x for x in _SEPARATOR.split(line) if x.strip()]
             if len(items) >= 2:
                 known = sum(x.strip().lower() in self.cfg.menu_items for x in items)
                 if known * 2 >= len(items) or (len(items) >= 3 and max(map(len, items)) <= 28):
                     return 1
-        if len(line) < 260 and next(self.cues.iter(low), None) is not None and _PHRASE.search(line) and (len(line) < 60 or not self._story(line)):
+        if next(self.cues.iter(low), None) is not None and (self._dense(line) if len(line) >= 260 else _PHRASE.search(line)) and (len(line) < 60 or not self._story(line)):
             return 1
         return 3 if ended and len(line) > (8 if line[0] > "⺀" else 18) else 0
 
+    @staticmethod
+    def _dense(line: str) -> bool:
+        """A long line of notices: two phrases or more, and one sentence of three at least holds one."""
+        parts = [x for x in _SENTENCE.split(line) if x]
+        hits = [sum(1 for _ in _PHRASE.finditer(x)) for x in parts]
+        return sum(hits) >= 2 and 3 * sum(h > 0 for h in hits) >= len(parts)
+
     @staticmethod
     def _story(line: str) -> bool:
         """A sentence of a story that only speaks of such things: it names someone."""

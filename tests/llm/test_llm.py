@@ -146,6 +146,16 @@ def test_boilerplate(spark):
     assert boilerplate.boilerplate_lines(df.limit(0)).count() == 0
 
 
+def test_long_notices(spark):
+    story = "The council met on Monday to talk about the budget of the coming year, and it put off the vote. "
+    notice = "We use cookies to make this site work and to count visits. Our partners may store data on your device. You can accept all or reject all of them at any time. " * 2 + "Manage preferences in the cookie settings."
+    menu = " | ".join(f"section {chr(97 + i % 26)}{i}" for i in range(40))
+    told = story + "Readers may subscribe to the minutes. " + story * 3
+    assert min(len(notice), len(menu), len(told)) > 260
+    df = spark.createDataFrame([(1, "\n".join([story * 3, notice, told, menu, story * 3]))], "pos long, content string")
+    assert sorted(r.line_no for r in boilerplate.boilerplate_lines(df).collect()) == [1, 3]
+
+
 def test_events():
     chars, tags = boilerplate.line_events("<p>ab</p>\ncd <b>e</b>")
     assert chars == [2, 3] and tags == [2, 2]
