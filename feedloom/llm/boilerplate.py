@@ -3,9 +3,9 @@
 Every content goes through the standard library's streaming HTML parser; its events give the text and the tags of
 each line. In text taken from a page most tags are gone, so the marks they leave count as tags too: separators between menu
 items, furniture phrases (cookie notices, sign-up, sharing, comment counts, footers) and list headings. The text-to-tag ratio of each line,
-smoothed with a Gaussian over its neighbours, is clustered into two groups; lines of the low group that do not read as
-sentences are furniture, which keeps a lone subhead between paragraphs and drops a short line among menu items. An exact check
-follows: lines that carry furniture phrases are out whatever surrounds them, and so are the headlines under a list heading.
+smoothed with a Gaussian over its neighbours, is clustered into two groups on every page; runs of two lines or more that do not read as
+sentences and reach into the low group are furniture, which keeps a lone subhead between paragraphs and drops short lines among menu items.
+An unknown line that stands alone beside a sentence is no furniture by ratio. An exact check follows: lines that carry furniture phrases are out whatever surrounds them, and so are the headlines under a list heading.
 
 Defined results: null, empty and blank contents give no row; lines are counted from 0 over ``content`` split at "\n", blank lines are
 never reported; contents without furniture give none; repeated rows count each. Contents of any length are read whole, in one pass.
@@ -77,7 +77,7 @@ _BLOCK = frozenset("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 section article
 
 @dataclass(frozen=True)
 class BoilerplateConfig:
-    """sigma: width of the smoothing in lines; cue_tags: tags that one furniture phrase counts for; low: ratio above which no line is furniture by ratio alone."""
+    """sigma: width of the smoothing in lines; cue_tags: tags that one furniture phrase counts for; low: ratio of a line from which on it is no furniture by ratio alone."""
 
     sigma: float = 0.9
     cue_tags: int = 6
@@ -187,15 +187,25 @@ class Extractor:
             return []
         kinds = [self.kind(lines[i]) for i in rows]
         chars, tags = line_events(text)
-        if all(k in (0, 3) for k in kinds) and not any(tags):
-            return []
         ratio = []
         for i, k in zip(rows, kinds, strict=True):
             marks = len(_SEPARATOR.findall(lines[i])) if k == 1 and any(x in lines[i] for x in _MARKS) else 0
             width = 2 if lines[i][0] > "⺀" else 1
             ratio.append(chars[i] * width / (1 + tags[i] + marks + (self.cfg.cue_tags if k in (1, 2) else 0)))
         smooth = self._smooth(ratio)
-        cut = min(self._threshold(smooth), self.cfg.low)
+        cut = self._threshold(smooth)
+        # lines that may be furniture; one without another beside it is a subhead or a text cut short
+        thin = [k in (1, 2) or (k == 0 and r < self.cfg.low) for k, r in zip(kinds, ratio, strict=True)]
+        if all(thin) and len(rows) >= 3:  # nothing to tell the clusters apart by
+            cut = math.inf
+        # a run of such lines is furniture if the low cluster holds one of them: its edges are smoothed with the story beside it
+        low = [False] * len(rows)
+        start = 0
+        for n in range(len(rows) + 1):
+            if n == len(rows) or not thin[n]:
+                if n - start >= 2 and min(smooth[start:n]) < cut:
+                    low[start:n] = [True] * (n - start)
+                start = n + 1
         out = []
         in_list = False
         for n, (i, k) in enumerate(zip(rows, kinds, strict=True)):
@@ -212,13 +222,15 @@ class Extractor:
                     in_list = False
                 else:
                     out.append(i)
-            elif smooth[n] < cut and (n > 0 and kinds[n - 1] in (1, 2)) and (n + 1 < len(rows) and kinds[n + 1] in (1, 2)) and self._short(lines[i]):
+            elif low[n] and not self._lone(n, kinds, thin):
                 out.append(i)
         return out
 
     @staticmethod
-    def _short(line: str) -> bool:
-        return len(line) <= (10 if line[0] > "⺀" else 24)
+    def _lone(n: int, kinds: list[int], thin: list[bool]) -> bool:
+        """A subhead or signature: beside a sentence, with no other unknown short line next to it."""
+        near = [j for j in (n - 1, n + 1) if 0 <= j < len(kinds)]
+        return any(kinds[j] == 3 for j in near) and not any(thin[j] and kinds[j] == 0 for j in near)
 
     @staticmethod
     def _subhead(line: str) -> bool:

@@ -156,6 +156,16 @@ def test_long_notices(spark):
     assert sorted(r.line_no for r in boilerplate.boilerplate_lines(df).collect()) == [1, 3]
 
 
+def test_furniture_outside_the_lists(spark):
+    story = "The council met on Monday to talk about the budget of the coming year, and it put off the vote until the members have read it. "
+    run = ["Zum Warenkorb", "Mein Profil", "Filialsuche"]
+    pages = [(1, "\n".join([*run, story, story])), (2, "\n".join([story, story, *run])), (3, "\n".join([story, story, *run, story, story])), (4, "\n".join(run)), (5, "\n".join([story, "What comes next", story, "Cut sh"]))]
+    got = {}
+    for r in boilerplate.boilerplate_lines(spark.createDataFrame(pages, "pos long, content string")).collect():
+        got.setdefault(r.pos, set()).add(r.line_no)
+    assert got[1] >= {0, 1} and got[2] == {2, 3, 4} and got[3] >= {2, 3} and got[4] == {0, 1, 2} and 5 not in got
+
+
 def test_events():
     chars, tags = boilerplate.line_events("<p>ab</p>\ncd <b>e</b>")
     assert chars == [2, 3] and tags == [2, 2]
