@@ -9,8 +9,8 @@ holds over all records:
   ``${HOME}``): no case;
 * a message of an error page, a filler line or a failed-summary message is a whole-line template without
   name slots: a case; where names fill its slots it is a sentence of a story about such a thing: no case;
-* a short text without names that is the whole field of several records but hardly ever a part of a longer field is a
-  template of its own, whatever its words: a case.
+* a text without names that is the whole field of several records is a template of its own, whatever its words and length: a case,
+  unless it is one short sentence that is often a part of longer fields.
 
 Defined results: null, empty and blank fields are no cases; repeated rows are cases each; fields of any length
 are read whole. One automaton pass over the text of an Arrow batch finds the fields that need a look; only their
@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import ahocorasick
 import pyarrow as pa
@@ -123,7 +124,8 @@ def _suspicious(cfg: ResidueConfig):
             parts: dict[str, int] = {}
             for pos, field_name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 short = None
-                if len(text) > cfg.whole_chars:
+                long = len(text) > cfg.whole_chars
+                if long:
                     # plain replacements: a count of short wording inside longer fields needs no exact sentence ends
                     rough = text.replace("。", "。\n").replace(". ", ".\n").split("\n")
                     short = [u for u in rough if u and len(u) <= cfg.whole_chars]
@@ -134,7 +136,10 @@ def _suspicious(cfg: ResidueConfig):
                         if not names_in(whole):
                             out.append((pos, field_name, whole, False, False, None, digits.sub("9", ids.sub("9", whole)), "", ""))
                     else:
-                        short = us
+                        short, long = us, True
+                if long and not names_in(text):
+                    k = digits.sub("9", ids.sub("9", blank.sub(" ", text).strip()))
+                    out.append((pos, field_name, "", False, False, None, "⟦whole⟧" + blake2b(k.encode(), digest_size=16).hexdigest(), "", ""))
                 for u in short or ():
                     if not names_in(u):
                         k = digits.sub("9", blank.sub(" ", u).strip())
@@ -179,7 +184,7 @@ def find_residue(records: DataFrame, cfg: ResidueConfig | None = None) -> DataFr
         .withColumn("h", F.xxhash64("template"))
         .checkpoint()  # the texts are read once; the suspicious units, a small part of them, several times
     )
-    # short whole fields against the same wording inside longer fields
+    # whole fields; short ones against the same wording inside longer fields
     single = found.filter("alone is null")
     wording = single.groupBy("h").agg(F.count("pos").alias("whole"), F.sum(F.when(F.col("pos").isNull(), F.col("unit").try_cast("bigint"))).alias("part"))
     odd = wording.filter((F.col("whole") >= cfg.whole_repeats) & (F.coalesce("part", F.lit(0)) <= cfg.part_share * F.col("whole"))).select("h")

@@ -25,6 +25,14 @@ def test_residue(spark):
     assert residue_cases(spark, ["{{x}}"] * 3 + ["word " * 200_000 + "<insert name>"]) == [0, 1, 2, 3]
 
 
+def test_long_repeated_pages_are_residue(spark):
+    page = "the reader could not reach this part of the site from where you are, so we kept the words back. ask the desk and give the number %d, then wait a while before you come again."
+    two = "come back soon. Ask the desk."
+    other = "the council met to talk about the budget of the year and put off the vote once more. the members of %s want to read it first."
+    texts = [page % (100 + i) for i in range(6)] + [two] * 5 + [other % w for w in ("north", "south", "east", "west", "river", "hill")]
+    assert residue_cases(spark, texts) == list(range(11))
+
+
 # --- problem 4 -------------------------------------------------------------------------------------------------------
 def test_truncation(spark):
     rng = random.Random(1)
