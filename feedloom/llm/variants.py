@@ -341,8 +341,9 @@ def round_edges(members: DataFrame) -> DataFrame:
     ).filter("low <> high")
     joined = rows.join(blocks, "key")
     strong = joined.filter("role = 'full' and first is not null").select(F.col("cid").alias("a"), F.col("first.cid").alias("b"))
-    # one edit is not transitive: every two names of a deletion block are compared, one row a name (equal names are linked by their whole name)
-    typos = rows.filter("role = 'typo'").groupBy("key", "name").agg(F.min("cid").alias("cid"))
+    # one edit is not transitive: every two names of a deletion block are compared, one row a name (equal names are linked by their whole name);
+    # so are shortened names where no full cluster holds the key
+    typos = joined.filter("role = 'typo' or (role = 'shorttypo' and first is null)").groupBy("key", "name").agg(F.min("cid").alias("cid"))
     several = typos.groupBy("key").agg(F.min("name").alias("n0"), F.max("name").alias("n1"), F.min("cid").alias("c0"), F.max("cid").alias("c1")).filter("n0 <> n1 and c0 <> c1").select("key")
     typos = typos.join(several, "key", "left_semi")
     other = typos.select("key", F.col("name").alias("y"), F.col("cid").alias("b"))
@@ -378,10 +379,12 @@ def resolve(spellings: DataFrame, cfg: VariantConfig | None = None) -> DataFrame
     cfg = cfg or VariantConfig()
     ensure_checkpoint_dir(spellings.sparkSession)
     members = spellings.filter("spelling is not null").select("field", "spelling").distinct().withColumn("cid", F.xxhash64("field", "spelling")).checkpoint()
-    for _ in range(cfg.max_rounds):
+    for done in range(cfg.max_rounds + 1):
         edges = round_edges(members).checkpoint()
         if not edges.limit(1).count():
             break
+        if done == cfg.max_rounds:
+            raise RuntimeError(f"names still merge after {cfg.max_rounds} rounds")
         labels = min_labels(edges, cfg.max_label_rounds)
         members = members.join(labels, members["cid"] == labels["node"], "left").select("field", "spelling", F.coalesce("label", "cid").alias("cid")).checkpoint()
     return members

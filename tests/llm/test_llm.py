@@ -90,6 +90,14 @@ def test_typos_link_past_an_unrelated_first(spark):
     assert {tuple(sorted((r.a, r.b))) for r in edges} == {(2, 3)}
 
 
+def test_short_names_link_among_each_other(spark):
+    rows = [("company", "Vabnson Banmenten"), ("company", "Vacnson Banmenten"), ("company", "Olkirenta Dusvale")]
+    df = spark.createDataFrame(rows, "field string, spelling string")
+    assert len({r.cid for r in variants.resolve(df).collect()}) == 2
+    with pytest.raises(RuntimeError):
+        variants.resolve(df, variants.VariantConfig(max_rounds=0))
+
+
 def test_one_edit_is_damerau():
     rng = random.Random(5)
 
