@@ -8,8 +8,11 @@ the source's values there that the fitted density does not explain.
 
 Ending: a text is split into units (sentences, lines, and what stands before links, tags and signs). Its last unit,
 without a mark of the cut, is compared with the units of all texts, names and figures masked: how often the same words
-end a unit and how often more words follow, the same for the last two words, and whether the last word is known at all.
-A broken link or tag at the end is a cut by itself.
+end a unit and how often more words follow, the same for the last two words and the last word, and whether that word is
+known at all. A unit of one word is judged by itself: whether it was ever a whole unit. A last word that opens names but never
+ends one or stands alone is the first part of a cut name. A broken tag, or a link that stops inside its host, is a cut by
+itself; a host without a path is whole if links with a path have it. Ids of a link's last part are hexadecimal numbers without
+leading zeros, so a share of 1/16 is a digit shorter, 1/256 two digits; shorter ids beyond that share are cut ones.
 
 Defined results: null, empty and blank values are no cases; a text that ends with a whole sentence, with or without dots or
 final punctuation after it, is none; repeated rows are cases each. Lengths are in code points of the whole value. Length
@@ -89,13 +92,23 @@ def _key(kind: str, *parts: str) -> int:
     return ((h << 32) | g) - (1 << 63)
 
 
-def _url_shape(url: str) -> tuple[str, str]:
-    """(kind of path, shape of its last part)."""
-    m = re.match(r"(https?://)([^/]*)(/.*)?$", url)
-    if not m or not m.group(3) or "." not in m.group(2):
-        return "", "broken"
-    parts = m.group(3).strip("/").split("/")
-    return f"{len(parts)}:{parts[0] if len(parts) > 1 else ''}", f"{'h' if re.fullmatch(r'[0-9a-f]+', parts[-1]) else 'w'}{len(parts[-1]) if re.fullmatch(r'[0-9a-f]+', parts[-1]) else ''}"
+_LINK = re.compile(r"(?:https?://)?([^/?#]*)([/?#].*)?$", re.IGNORECASE)
+_HEX = re.compile(r"[0-9a-f]+")
+
+
+def _url_shape(url: str) -> tuple[str, str, int]:
+    """(host, kind of path, hexadecimal digits of its last part or 0); the kind of a link without a path is empty."""
+    m = _LINK.match(url)
+    host, path = (m.group(1).lower(), m.group(2) or "") if m else ("", "")
+    parts = path.strip("/").split("/")
+    kind = f"{len(parts)}:{parts[0] if len(parts) > 1 else ''}" if parts[0] else ""
+    return host, kind, len(parts[-1]) if _HEX.fullmatch(parts[-1]) else 0
+
+
+def _broken_host(url: str) -> bool:
+    """Whether a link stops inside its scheme or before the first dot of its host."""
+    host, kind, _ = _url_shape(url)
+    return not kind and ("://" not in url and not url.startswith("www.") or "." not in host.removeprefix("www."))
 
 
 def _units(text: str) -> list[str]:
@@ -113,12 +126,17 @@ def _evidence():
             for tab, pos, source, text in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
                 size = len(text)
                 for u in _URL.findall(text) if "http" in text or "www." in text else ():
-                    k = "\x02" + "|".join(_url_shape(u.rstrip(".,;:)")))
-                    whole[k] = whole.get(k, 0) + 1
+                    host, kind, digits = _url_shape(u.rstrip(".,;:)"))
+                    if kind:
+                        k = f"\x02{host}|{digits}|{kind}"
+                        whole[k] = whole.get(k, 0) + 1
                 masked, runs = _mask(text)
+                open_end = text.rstrip()
                 for run_ in runs:
-                    for w in run_.split(" "):
-                        w = "\x01" + w
+                    words = run_.split(" ")
+                    # the name at the very end may be cut and is no evidence for its own last word
+                    for i, w in enumerate(words[:-1] if open_end.endswith(run_) else words):
+                        w = ("\x01" if i < len(words) - 1 else "\x03") + w
                         whole[w] = whole.get(w, 0) + 1
                 end = text.rstrip()
                 state, core, marked = "open", end, False
@@ -134,7 +152,7 @@ def _evidence():
                 if state == "open":
                     tail = core.rsplit(None, 1)[-1] if core else ""
                     if tail.startswith(("http:", "https:", "htt")) or _URL.match(tail):
-                        state = "url"
+                        state = "cut" if _broken_host(tail) else "url"
                     else:
                         bare = (core[:-_TAIL] + _DECORATION.sub("", core[-_TAIL:])).rstrip()
                         if not bare:
@@ -154,7 +172,12 @@ def _evidence():
                     got = _units(_mask(core)[0])
                     fragment = got[-1] if got else ""
                     words = core.split(" ")
-                    name = words[-1] if words and _RUN.search(" ".join(words[-2:])) and fragment.endswith("¤") else ""
+                    if words and _RUN.search(" ".join(words[-2:])) and fragment.endswith("¤"):
+                        name = words[-1]
+                    elif words and words[-1][:1].isupper():
+                        name = "\x01" + words[-1]
+                    if len(got) == 1:
+                        name = "\x02" + name.lstrip("\x01")
                 elif state in ("url", "tag"):
                     fragment = core.rsplit(None, 1)[-1]
                 last.append((tab, pos, source, size, state, marked, fragment, name))
@@ -177,21 +200,23 @@ _EVIDENCE_SCHEMA = "tab string, pos bigint, source string, size int, state strin
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(unit, n) to (key, ends, goes): how often a key ends a unit and how often more follows."""
+    """(unit, n) to (key, ends, goes): how often a key ends a unit (N: a name) and how often more follows."""
     for batch in batches:
         ends: dict[int, int] = {}
         goes: dict[int, int] = {}
         for unit, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if unit[0] == "\x01":
-                k = _key("T", unit[1:].lower())
-                ends[k] = ends.get(k, 0) + n
+            if unit[0] in "\x01\x03":
+                k = _key("N", unit[1:].lower())
+                side = goes if unit[0] == "\x01" else ends
+                side[k] = side.get(k, 0) + n
                 continue
             if unit[0] == "\x02":
-                kind, shape = unit[1:].split("|", 1)
-                k = _key("U", kind, shape)
-                ends[k] = ends.get(k, 0) + n
-                k = _key("U", kind)
-                ends[k] = ends.get(k, 0) + n
+                host, digits, kind = unit[1:].split("|", 2)
+                for k in (_key("H", host), _key("D", host.rsplit(".", 1)[-1]), _key("U", kind, digits), _key("V", kind), _key("V")):
+                    ends[k] = ends.get(k, 0) + n
+                if int(digits) > 1:
+                    k = _key("U", kind, str(int(digits) - 1))
+                    goes[k] = goes.get(k, 0) + n
                 continue
             t = _tokens(re.sub(r"[.!?。！？\"”»’)」]+$", "", unit))
             h, g = 0, zlib.crc32(b"P")
@@ -203,7 +228,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 side = ends if is_last else goes
                 side[k] = side.get(k, 0) + n
                 k = _key("T", w)
-                ends[k] = ends.get(k, 0) + n
+                side[k] = side.get(k, 0) + n
                 if i:
                     k = _key("B", t[i - 1], w)
                     side[k] = side.get(k, 0) + n
@@ -212,7 +237,8 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments to the keys asked of them: F whole fragment, G without its last word, B last two words, T last word, N last word of a name, U and V link."""
+    """Fragments to the keys asked of them: F whole fragment, G without its last word, B last two words, T last word, N last word as part of a name, and of links
+    H host, D its last label, U kind of path and length of the id, V kind, W all links."""
     for batch in batches:
         ids, roles, keys = [], [], []
 
@@ -223,9 +249,12 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         for i, state, fragment, name in zip(*[batch.column(c).to_pylist() for c in range(4)], strict=True):
             if state == "url":
-                kind, shape = _url_shape(fragment)
-                ask(i, "U", _key("U", kind, shape))
-                ask(i, "V", _key("U", kind))
+                host, kind, digits = _url_shape(fragment.rstrip(".,;:)"))
+                ask(i, "H", _key("H", host))
+                ask(i, "D", _key("D", host.rsplit(".", 1)[-1]))
+                if kind:
+                    ask(i, "U" if digits else "V", _key("U", kind, str(digits)) if digits else _key("V", kind))
+                    ask(i, "W", _key("V"))
                 continue
             t = _tokens(fragment)
             if not t:
@@ -234,9 +263,11 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(t) > 1:
                 ask(i, "G", _key("P", *t[:-1]))
                 ask(i, "B", _key("B", t[-2], t[-1]))
+            elif name[:1] != "\x02":
+                ask(i, "S", _key("P", *t))
             ask(i, "T", _key("T", t[-1]))
-            if name:
-                ask(i, "N", _key("T", name.lower()))
+            if name.strip("\x01\x02"):
+                ask(i, "N" if t[-1] == "¤" else "M", _key("N", name.strip("\x01\x02").lower()))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(roles, pa.string()), pa.array(keys, pa.int64())], names=["fid", "role", "key"])
 
 
@@ -316,23 +347,37 @@ def score_endings(texts: DataFrame, cfg: TruncationConfig | None = None) -> Data
     distinct = open_ends.groupBy("fid").agg(F.first("state").alias("state"), F.first("fragment").alias("fragment"), F.first("name").alias("name"))
     asked = distinct.select("fid", "state", "fragment", "name").mapInArrow(_asked, "fid bigint, role string, key bigint")
     got = asked.join(stats, "key", "left").groupBy("fid").agg(
-        *[F.coalesce(F.max(F.when(F.col("role") == r, F.col(c))), F.lit(0)).alias(f"{r}_{c}") for r in "FGBTUVN" for c in ("ends", "goes")],
-        F.max(F.when(F.col("role") == "N", F.lit(1))).alias("has_name"),
+        *[F.coalesce(F.max(F.when(F.col("role") == r, F.col(c))), F.lit(0)).alias(f"{r}_{c}") for r in "FGBTNMUVWHD" for c in ("ends", "goes")],
+        *[F.max(F.when(F.col("role") == r, F.lit(1))).alias(f"has_{r}") for r in "NSUV"],
     )
     c = F.col
-    f_end, f_go, b_end, b_go = c("F_ends"), c("F_goes"), c("B_ends"), c("B_goes")
-    unknown = c("T_ends") < cfg.known_word
+    f_end, f_go, b_end, b_go, t_end, t_go = (c(x) for x in ("F_ends", "F_goes", "B_ends", "B_goes", "T_ends", "T_goes"))
+
+    def within(p: F.Column, low: float, high: float) -> F.Column:
+        return F.least(F.lit(high), F.greatest(F.lit(low), p))
+
+    unknown = t_end + t_go + c("M_ends") + c("M_goes") + c("N_ends") + c("N_goes") < cfg.known_word
+    link = (
+        F.when(c("has_U") == 1, F.when(c("U_ends") >= c("U_goes"), 0.98).otherwise(within(2 * (c("U_goes") / 16 + 0.1) / F.greatest(c("U_ends"), F.lit(1)), 0.02, 0.98)))
+        .when(c("has_V") == 1, F.when(c("V_ends") > 0.02 * c("W_ends"), 0.95).otherwise(0.5))
+        .when(c("H_ends") > 0, 0.98)
+        .otherwise(F.when(c("D_ends") > 0, 0.9).otherwise(0.02))
+    )
+    # the last word alone, and the last two words leaning on it
+    p_word = within((t_end + 0.3) / (t_end + t_go + 0.6), 0.02, 0.75)
+    p_pair = within((b_end + 2 * p_word) / (b_end + b_go + 2), 0.02, 0.97)
     p_end = (
-        F.when(c("state") == "url", F.when(c("V_ends") == 0, 0.02).otherwise(F.least(F.lit(0.98), F.greatest(F.lit(0.02), (c("U_ends") * 4) / (c("V_ends") + 1)))))
+        F.when(c("state") == "url", link)
         .when(c("state") == "tag", F.when(unknown, 0.45).otherwise(0.9))
-        .when((c("has_name") == 1) & (c("N_ends") < 2), 0.04)
+        .when((c("has_N") == 1) & (c("N_ends") + c("N_goes") < 2), 0.04)
         .when((f_end > 0) & (f_go == 0), 0.995)
         .when((f_end == 0) & (f_go > 0), 0.005)
         .when((f_end > 0) & (f_go > 0), (f_end + 0.5) / (f_end + f_go + 1.0))
-        .when(~unknown & (f_end == 0) & (f_go == 0) & (c("G_goes") == 0), 0.75)
+        .when(c("has_S") == 1, F.when(unknown | (c("M_goes") > 0), 0.04).otherwise(0.1))
+        .when((c("M_goes") > 1) & (c("M_ends") == 0) & (t_end == 0), 0.03)
         .when(unknown, F.when(c("G_goes") > 0, 0.02).otherwise(0.15))
-        .when((b_end + b_go) > 0, F.least(F.lit(0.97), F.greatest(F.lit(0.03), (b_end + 0.3) / (b_end + b_go + 0.6))))
-        .otherwise(F.when(c("G_goes") > 0, 0.25).otherwise(0.5))
+        .when((b_end + b_go) > 0, F.when(c("has_N") == 1, F.greatest(p_pair, F.lit(0.3))).otherwise(p_pair))
+        .otherwise(F.when(c("G_goes") > 0, p_word).otherwise(within(1.5 * p_word, 0.02, 0.75)))
     )
     ends = got.join(distinct.select("fid", "state"), "fid").select("fid", p_end.alias("p_end"))
     cand = lasts.filter("state <> 'done'").withColumn("fid", F.when(c("state") != "cut", F.xxhash64("state", "fragment", "name")))

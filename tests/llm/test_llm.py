@@ -55,6 +55,20 @@ def test_truncation(spark):
     assert truncation.truncated(df.limit(0)).count() == 0
 
 
+def test_cut_links_and_one_word_units(spark):
+    rng = random.Random(2)
+    topics = ["the build cache", "memory leaks", "grid fees", "the rollback tool"]
+    told = lambda: f"According to Ann Lee, the work on {rng.choice(topics)} took {rng.randint(2, 30)} weeks."
+    link = lambda n=6: f"https://corvane-labs.example/news/{rng.randrange(16 ** (n - 1), 16 ** n):x}"
+    rows = [(i, f"{told()} {link()}") for i in range(320)] + [(1000 + i, f"{told()} {link(5)}") for i in range(20)]
+    host = "https://corvane-labs.example"
+    cut = [f"{told()} {host[:k]}" for k in range(len("htt"), host.index("."))] + [f"{told()} Accord", f"{told()} According", f"{told()} Accordi"]
+    rows += [(2000 + i, t) for i, t in enumerate(cut)] + [(3000, f"{told()} {host}"), (3001, f"{told()} https://other.example"), (3002, "Wow")]
+    df = spark.createDataFrame([("t", i, "s", t) for i, t in rows], "tab string, pos long, source string, text string")
+    got = {r.pos for r in truncation.truncated(df, truncation.TruncationConfig(spike=1e9)).collect()}
+    assert got == set(range(2000, 2000 + len(cut)))
+
+
 def test_censoring_finds_the_limit(spark):
     rng = random.Random(3)
     sizes = [max(5, int(rng.lognormvariate(5, 0.4))) for _ in range(3000)]
