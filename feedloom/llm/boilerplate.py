@@ -1,29 +1,39 @@
 """Problem 7: page boilerplate mixed with main content.
 
-Every content goes through the standard library's streaming HTML parser; its events give the text and the tags of
-each line. In text taken from a page most tags are gone, so the marks they leave count as tags too: separators between menu
-items, furniture phrases (cookie notices, sign-up, sharing, comment counts, footers) and list headings. The text-to-tag ratio of each line,
-smoothed with a Gaussian over its neighbours, is clustered into two groups on every page; runs of two lines or more that do not read as
-sentences and reach into the low group are furniture, which keeps a lone subhead between paragraphs and drops short lines among menu items.
-An unknown line that stands alone beside a sentence is no furniture by ratio. An exact check follows: lines that carry furniture phrases are out whatever surrounds them, and so are the headlines under a list heading.
+Every content goes through the standard library's streaming HTML parser; its events give the text and the tags of each line. A line
+that is no sentence stands for an element of its own (link, heading, item) and counts as one tag more, each separator inside it as
+another. The text-to-tag ratio of the lines is smoothed with a Gaussian over their neighbours, beyond both ends of a page lies
+nothing, so that furniture at the edges has a low value; a threshold between two clusters, found by 2-means on the logarithm of the smoothed ratio
+over the whole corpus, tells content regions from furniture.
+
+The regions then teach the wording: every pair of neighbouring tokens is counted in low and in high regions, in a table of fixed size, and
+its log odds join the smoothed ratio of each line; lines that turn out as furniture lose their text, the ratio is smoothed again, and so on until the
+table is stable. So a lone notice between paragraphs is found since the same wording fills low regions elsewhere. The lists of phrases, menu words and
+headings below are one more weight (``hint``) in that sum, no decision; without them the rest goes on as before.
+
+An exact check follows: a thin line right before a sentence of the story is its headline or subhead unless a hint, or the wording of a line between two sentences,
+speaks against it; lines of links or hash tags alone belong to the story, and a sentence is furniture only if its own wording says so.
 
 Defined results: null, empty and blank contents give no row; lines are counted from 0 over ``content`` split at "\n", blank lines are
-never reported; contents without furniture give none; repeated rows count each. Contents of any length are read whole, in one pass.
+never reported; contents without furniture give none; repeated rows count each. Contents of any length are read whole. The corpus is parsed
+once, into a few numbers a line, which are checkpointed; the passes over it send tables of fixed size to the driver.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import ensure_checkpoint_dir
+
 #: Headings of lists of other stories.
 LIST_HEADINGS = (
     r"most (?:read|popular|viewed)|editors?[’']?s?[’']? picks|trending(?: now)?|you may (?:also )?(?:like|be interested.*)|related (?:stories|articles|posts|reading|news)|(?:read|see) (?:also|next|more)|more (?:from|stories|news|on|in) ?.*|recommended(?: for you)?|latest (?:stories|news)|popular now|what to read next"
@@ -77,11 +87,19 @@ _BLOCK = frozenset("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 section article
 
 @dataclass(frozen=True)
 class BoilerplateConfig:
-    """sigma: width of the smoothing in lines; cue_tags: tags that one furniture phrase counts for; low: ratio of a line from which on it is no furniture by ratio alone."""
-
-    sigma: float = 0.9
-    cue_tags: int = 6
-    low: float = 22.0
+    """sigma: width of the smoothing in lines; spread: ratio that one unit of log odds stands for; reach: most that a neighbourhood may weigh; context: weight of ratio and
+    neighbourhood beside the wording; hint: weight of a listed phrase, menu or heading, 0 to do without; strongest: pairs of a line that are
+    heard; passes: most passes over the corpus, ended earlier when the wording's table moves by less than ``settled``; wordy: least wording of a sentence that is furniture."""
+
+    sigma: float = 1.0
+    spread: float = 10.0
+    reach: float = 4.0
+    context: float = 1.2
+    hint: float = 4.0
+    strongest: int = 6
+    passes: int = 6
+    settled: float = 0.02
+    wordy: float = 2.0
     menu_items: frozenset[str] = MENU_ITEMS
 
 
@@ -123,13 +141,11 @@ def line_events(text: str) -> tuple[list[int], list[int]]:
     return p.chars, p.tags
 
 
-class Extractor:
-    """Furniture lines of contents."""
+class Hints:
+    """Listed phrases, menus and headings in lines."""
 
     def __init__(self, cfg: BoilerplateConfig):
         self.cfg = cfg
-        reach = max(1, math.ceil(3 * cfg.sigma))
-        self.kernel = [math.exp(-0.5 * (i / cfg.sigma) ** 2) for i in range(-reach, reach + 1)]
         self.memo: dict[str, int] = {}
         self.cues = ahocorasick.Automaton()
         for c in CUE_WORDS.split("|"):
@@ -179,123 +195,324 @@ class Extractor:
         """A sentence of a story that only speaks of such things: it names someone."""
         return re.search(r"(?<!^)(?<![.!?·] )\b[A-ZÀ-Þ][a-zà-ÿ]+ [A-ZÀ-Þ][a-zà-ÿ]+", line) is not None
 
-    def furniture(self, text: str) -> list[int]:
-        """Numbers of the lines that are not part of the story."""
-        lines = [ln.strip() for ln in text.split("\n")]
-        rows = [i for i, ln in enumerate(lines) if ln]
-        if not rows:
-            return []
-        kinds = [self.kind(lines[i]) for i in rows]
-        chars, tags = line_events(text)
-        ratio = []
-        for i, k in zip(rows, kinds, strict=True):
-            marks = len(_SEPARATOR.findall(lines[i])) if k == 1 and any(x in lines[i] for x in _MARKS) else 0
-            width = 2 if lines[i][0] > "⺀" else 1
-            ratio.append(chars[i] * width / (1 + tags[i] + marks + (self.cfg.cue_tags if k in (1, 2) else 0)))
-        smooth = self._smooth(ratio)
-        cut = self._threshold(smooth)
-        # lines that may be furniture; one without another beside it is a subhead or a text cut short
-        thin = [k in (1, 2) or (k == 0 and r < self.cfg.low) for k, r in zip(kinds, ratio, strict=True)]
-        if all(thin) and len(rows) >= 3:  # nothing to tell the clusters apart by
-            cut = math.inf
-        # a run of such lines is furniture if the low cluster holds one of them: its edges are smoothed with the story beside it
-        low = [False] * len(rows)
-        start = 0
-        for n in range(len(rows) + 1):
-            if n == len(rows) or not thin[n]:
-                if n - start >= 2 and min(smooth[start:n]) < cut:
-                    low[start:n] = [True] * (n - start)
-                start = n + 1
-        out = []
-        in_list = False
-        for n, (i, k) in enumerate(zip(rows, kinds, strict=True)):
-            if k == 2:
-                # a heading of a list: something of a list must follow, or other furniture stand beside it
-                in_list = True
-                out.append(i)
-            elif k == 1:
-                out.append(i)
-            elif k == 3:
-                in_list = False
-            elif in_list:
-                if self._subhead(lines[i]) and n + 1 < len(rows) and kinds[n + 1] == 3:
-                    in_list = False
-                else:
-                    out.append(i)
-            elif low[n] and not self._lone(n, kinds, thin):
-                out.append(i)
-        return out
 
-    @staticmethod
-    def _lone(n: int, kinds: list[int], thin: list[bool]) -> bool:
-        """A subhead or signature: beside a sentence, with no other unknown short line next to it."""
-        near = [j for j in (n - 1, n + 1) if 0 <= j < len(kinds)]
-        return any(kinds[j] == 3 for j in near) and not any(thin[j] and kinds[j] == 0 for j in near)
+_BITS = 16
+_CAP = 120.0
+_CHUNK = 1_000_000
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By code point of the basic plane: class (1 letter, 2 digit, 3 ideograph, 4 sign that counts as a token), lower case, space, end of a sentence, separator."""
+    n = 1 << 16
+    kind, low = np.zeros(n, np.uint8), np.arange(n, dtype=np.uint32)
+    space, ends, seps = (np.zeros(n, bool) for _ in range(3))
+    for i in range(n):
+        c = chr(i)
+        if c.isdigit():
+            kind[i] = 2
+        elif c.isalpha():
+            kind[i] = 3 if i >= 0x2E80 else 1
+        space[i] = c.isspace()
+        if len(c.lower()) == 1:
+            low[i] = ord(c.lower())
+    for c in "©·|•»:：/":
+        kind[ord(c)] = 4
+    for c in _ENDS:
+        ends[ord(c)] = True
+    for c in "|·/•»":
+        seps[ord(c)] = True
+    return kind, low, space, ends, seps
+
+
+class LineReader:
+    """Texts to numbers of their lines, for many texts at once."""
 
-    @staticmethod
-    def _subhead(line: str) -> bool:
-        """A short line without names, or with one place only."""
-        if line[0] > "⺀":
-            return len(line) <= 9
-        return len(line.split()) <= 4 and len(re.findall(r"(?<!^)\b[A-ZÀ-Þ][a-zà-ÿ]+", line)) <= 2
-
-    def _smooth(self, x: list[float]) -> list[float]:
-        reach = len(self.kernel) // 2
-        out = []
-        for i in range(len(x)):
-            total = weight = 0.0
-            for j in range(max(0, i - reach), min(len(x), i + reach + 1)):
-                w = self.kernel[j - i + reach]
-                total += w * min(x[j], 120.0)
-                weight += w
-            out.append(total / weight)
-        return out
+    def __init__(self, cfg: BoilerplateConfig):
+        self.kind, self.low, self.space, self.ends, self.seps = _tables()
+        self.powers = np.cumprod(np.full(64, 0x100000001B3, np.uint64), dtype=np.uint64)
+        self.hints = Hints(cfg) if cfg.hint else None
+
+    def lines(self, texts: list[str]) -> dict[str, np.ndarray]:
+        """Of the non-blank lines: page (index in texts), line_no, size (width of the text over tags and separators), sent (reads as a sentence), tags,
+        loose (a line of links or hash tags alone), hint, count of token pairs, and of these the buckets, in one array."""
+        big = "\n".join(texts)
+        cp = np.frombuffer(big.encode("utf-32-le", "surrogatepass"), np.uint32)
+        cp = np.minimum(cp, 0xFFFD).astype(np.uint16)
+        n = len(cp)
+        newline = cp == 10
+        breaks = np.flatnonzero(newline)
+        first, after = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [n]))
+        per = np.array([t.count("\n") + 1 for t in texts], np.int64)
+        page = np.repeat(np.arange(len(texts), dtype=np.int32), per)
+        line_no = (np.arange(len(page)) - np.repeat(np.cumsum(per) - per, per)).astype(np.int32)
+        space = self.space[cp]
+        ink = np.flatnonzero(~space)
+        lo = np.searchsorted(ink, first)
+        hi = np.searchsorted(ink, after)
+        has = hi > lo
+        page, line_no = page[has], line_no[has]
+        start, end = ink[lo[has]], ink[hi[has] - 1]
+        size = end - start + 1
+        m = len(start)
+        wide = cp[start] > 0x2E80 if m else np.zeros(0, bool)
+        ended = self.ends[cp[end]] if m else np.zeros(0, bool)
+        # a sign between spaces, a full-width bar, or spaces in a row
+        sep = np.zeros(n, bool)
+        if n > 2:
+            sep[1:-1] = self.seps[cp[1:-1]] & space[:-2] & space[2:]
+            gap = np.zeros(n, bool)
+            gap[1:] = space[1:] & space[:-1] & ~newline[1:] & ~newline[:-1]
+            gap[1:] &= ~gap[:-1]
+            sep |= gap | (cp == 0xFF5C)
+        at = np.flatnonzero(sep)
+        tags = np.where(ended, 0, np.searchsorted(at, end) - np.searchsorted(at, start)) if m else np.zeros(0, np.int64)
+        size = size * np.where(wide, 3, 1)
+        sent = ended & (size > np.where(wide, 24, 18))
+        if "<" in big:
+            for i, t in enumerate(texts):
+                if "<" in t:
+                    mine = np.flatnonzero(page == i)
+                    chars, marks = (np.array(x) for x in line_events(t))
+                    size[mine] = chars[line_no[mine]] * np.where(wide[mine], 3, 1)
+                    tags[mine] += marks[line_no[mine]]
+                    sent[mine] &= marks[line_no[mine]] <= 2
+        lines = [big[a : b + 1] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        loose = np.array([x[0] == "#" or (x[:4] == "http" and " " not in x) for x in lines], bool)
+        hint = np.zeros(m, np.int8)
+        if self.hints is not None and m:
+            look = ~ended & ((size < 180) | (tags > 0))
+            hits = [e for e, _ in self.hints.cues.iter(big.lower())] if len(big.lower()) == n else None
+            if hits is None:
+                look[:] = True
+            elif hits:
+                look[np.minimum(np.searchsorted(end, hits), m - 1)] = True
+            for i in np.flatnonzero(look):
+                # a long line of notices holds several phrases
+                hint[i] = (self.hints.kind(lines[i]) in (1, 2)) * (2 if len(lines[i]) >= 260 and tags[i] == 0 else 1)
+        buckets, owner = self._pairs(cp, start, end)
+        return {"page": page, "line_no": line_no, "size": (size / (1 + tags)).astype(np.float32), "sent": sent, "tags": tags.astype(np.int32), "loose": loose, "hint": hint, "pairs": np.bincount(owner, minlength=m).astype(np.int32), "buckets": buckets}
+
+    def _pairs(self, cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the pairs of neighbouring tokens, both ends of a line included, and the line of each, in the order of lines."""
+        kind = self.kind[cp]
+        begins = kind > 0
+        begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] >= 3)
+        at = np.flatnonzero(begins)
+        if not len(at):
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        inner = np.flatnonzero(kind > 0)
+        token = np.cumsum(begins[inner]) - 1
+        letter = self.low[cp[inner]].astype(np.uint64) * self.powers[np.minimum(inner - at[token], 63)]
+        letter[kind[inner] == 2] = 0
+        h = np.add.reduceat(letter, np.searchsorted(inner, at))
+        line = np.searchsorted(end, at)
+        opens = np.concatenate(([True], line[1:] != line[:-1]))
+        closes = np.concatenate((opens[1:], [True]))
+        left = np.concatenate((np.zeros(1, np.uint64), h[:-1]))
+        left[opens] = 7
+        # one pair for each token with what stands before it, and one for the last of a line
+        both = np.concatenate((left * np.uint64(0xC2B2AE3D27D4EB4F) ^ h * np.uint64(0x9E3779B97F4A7C15), h[closes] * np.uint64(0xC2B2AE3D27D4EB4F) ^ np.uint64(0xABCDEF)))
+        owner = np.concatenate((line, line[closes]))
+        both ^= both >> np.uint64(29)
+        both *= np.uint64(0xBF58476D1CE4E5B9)
+        order = np.argsort(owner, kind="stable")
+        return (both >> np.uint64(64 - _BITS)).astype(np.uint16)[order], owner[order]
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+class Scorer:
+    """Log odds that lines are furniture."""
+
+    def __init__(self, cfg: BoilerplateConfig, cut: float = 0.0, wording: np.ndarray | None = None):
+        self.cfg, self.cut, self.wording = cfg, cut, wording
+        self.reach = max(1, int(np.ceil(3 * cfg.sigma)))
+        self.kernel = np.exp(-0.5 * (np.arange(1, self.reach + 1) / cfg.sigma) ** 2)
+
+    def smooth(self, ratio: np.ndarray, page: np.ndarray) -> np.ndarray:
+        """Gaussian mean of the neighbours' ratios; beyond the ends of a page the ratio is 0."""
+        out = np.zeros(len(ratio))
+        for d, k in enumerate(self.kernel, 1):
+            if d < len(ratio):
+                same = page[d:] == page[:-d]
+                out[d:] += k * np.where(same, ratio[:-d], 0)
+                out[:-d] += k * np.where(same, ratio[d:], 0)
+        return out / (2 * self.kernel.sum())
 
     @staticmethod
-    def _threshold(x: list[float]) -> float:
-        """Boundary of two clusters on a line (2-means on the logarithm)."""
-        v = [math.log1p(y) for y in x]
-        a, b = min(v), max(v)
-        if b - a < 0.2:
-            return 0.0
-        for _ in range(12):
-            mid = (a + b) / 2
-            low, high = [y for y in v if y <= mid], [y for y in v if y > mid]
-            na, nb = sum(low) / len(low), sum(high) / len(high) if high else b
-            if abs(na - a) + abs(nb - b) < 1e-6:
-                break
-            a, b = na, nb
-        return math.expm1((a + b) / 2)
+    def ratios(x: dict[str, np.ndarray]) -> np.ndarray:
+        """Text-to-tag ratio: a sentence is text whatever its length, any other line stands in an element of its own."""
+        return np.where(x["sent"], np.clip(x["size"], 80, _CAP), np.minimum(x["size"], _CAP) / 2)
+
+    def words(self, x: dict[str, np.ndarray]) -> np.ndarray:
+        """Log odds of the wording: twice the mean of the strongest pairs."""
+        n = len(x["page"])
+        if self.wording is None or not len(x["buckets"]):
+            return np.zeros(n)
+        owner = np.repeat(np.arange(n), x["pairs"])
+        w = self.wording[x["buckets"]]
+        order = np.lexsort((-np.abs(w), owner))
+        w, owner = w[order], owner[order]
+        rank = np.arange(len(w)) - np.repeat(np.cumsum(x["pairs"]) - x["pairs"], x["pairs"])
+        top = rank < self.cfg.strongest
+        return 2 * np.bincount(owner[top], w[top], minlength=n) / np.maximum(np.minimum(x["pairs"], self.cfg.strongest), 1)
+
+    def score(self, x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(log odds, their part from the wording)"""
+        cfg, ratio, page = self.cfg, self.ratios(x), x["page"]
+        own = np.where(x["sent"], -0.5, 0.5) + 1.5 * np.minimum(x["tags"], 3) - (x["size"] > _CAP)
+        wording = self.words(x)
+        said = wording + cfg.hint * x["hint"]
+
+        def odds(smoothed: np.ndarray) -> np.ndarray:
+            return np.clip((self.cut - smoothed) / cfg.spread, -cfg.reach, cfg.reach) + own
+
+        z = odds(self.smooth(ratio, page))
+        if self.wording is None:
+            return z + said, wording
+        z = cfg.context * z + said
+        for _ in range(2):  # furniture has no text of its own: what lies between two such lines is smoothed down
+            z = cfg.context * odds(self.smooth(ratio * (1 - _sigmoid(2 * z - 2)), page)) + said
+        return z, wording
+
+    def furniture(self, x: dict[str, np.ndarray]) -> np.ndarray:
+        """Mask of the furniture lines, after the exact check."""
+        z, wording = self.score(x)
+        out = (z > 0) & ~x["loose"]
+        plain = x["hint"] == 0
+        told = np.zeros(len(z), bool)
+        told[:-1] = x["sent"][1:] & (z[1:] < 0) & (x["page"][1:] == x["page"][:-1])
+        # between two sentences of the story the wording of a subhead decides
+        between = np.zeros(len(z), bool)
+        between[1:] = x["sent"][:-1] & (z[:-1] < 0) & (x["page"][1:] == x["page"][:-1])
+        told &= ~(between & (wording > self.cfg.wordy))
+        out &= ~(told & ~x["sent"] & (x["tags"] == 0) & plain)
+        return out & ~(x["sent"] & plain & (wording < self.cfg.wordy))
+
+
+_FIELDS = {"page": np.int32, "line_no": np.int32, "size": np.float32, "sent": np.bool_, "tags": np.int32, "loose": np.bool_, "hint": np.int8, "pairs": np.int32, "buckets": np.uint16}
+_BINS = 256
+_LOG_CAP = float(np.log1p(_CAP))
+
+
+def _read(cfg: BoilerplateConfig):
+    """(pos, h, content) to the numbers of lines, one row for about a million characters of texts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, first = LineReader(cfg), Scorer(cfg)
 
-def boilerplate_lines(pages: DataFrame, cfg: BoilerplateConfig | None = None) -> DataFrame:
-    """pos, line_no of the furniture lines of ``pages`` (pos, content)."""
-    cfg = cfg or BoilerplateConfig()
+        def row(part: list[tuple]) -> pa.RecordBatch:
+            x = reader.lines([t for _, _, t in part])
+            smoothed = np.log1p(first.smooth(first.ratios(x), x["page"])) / _LOG_CAP
+            bins = np.bincount(np.minimum((smoothed * _BINS).astype(int), _BINS - 1), minlength=_BINS)
+            data = [pa.array([np.array([p[i] for p in part], np.int64).tobytes()], pa.binary()) for i in (0, 1)]
+            data += [pa.array([x[k].astype(t).tobytes()], pa.binary()) for k, t in _FIELDS.items()]
+            return pa.RecordBatch.from_arrays([*data, pa.array([bins.tolist()], pa.list_(pa.int64()))], names=["pos", "h", *_FIELDS, "bins"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Extractor(cfg)
+        part, size = [], 0
         for batch in batches:
-            pos, line = [], []
-            for p, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = own.furniture(text)
-                pos.extend([p] * len(found))
-                line.extend(found)
-            yield pa.RecordBatch.from_arrays([pa.array(pos, pa.int64()), pa.array(line, pa.int32())], names=["pos", "line_no"])
+            for item in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                part.append(item)
+                size += len(item[2])
+                if size > _CHUNK:
+                    yield row(part)
+                    part, size = [], 0
+        if part:
+            yield row(part)
+
+    return run
+
+
+_READ_SCHEMA = ", ".join(f"{k} binary" for k in ("pos", "h", *_FIELDS)) + ", bins array<bigint>"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            at = lambda k, t: np.frombuffer(batch.column(k)[i].as_py(), t)  # noqa: E731, B023
+            yield at("pos", np.int64), at("h", np.int64), {k: at(k, t) for k, t in _FIELDS.items()}
+
+
+def _cluster(bins: np.ndarray) -> float:
+    """Threshold between two clusters (2-means) of a histogram of logarithms."""
+    v = (np.arange(_BINS) + 0.5) / _BINS * _LOG_CAP
+    seen = np.flatnonzero(bins)
+    if len(seen) < 2:
+        return 0.0
+    a, b = v[seen[0]], v[seen[-1]]
+    while True:
+        low = v <= (a + b) / 2
+        na = np.average(v[low], weights=bins[low])
+        nb = np.average(v[~low], weights=bins[~low]) if bins[~low].any() else b
+        if abs(na - a) + abs(nb - b) < 1e-9:
+            return float(np.expm1((na + nb) / 2))
+        a, b = na, nb
+
+
+def _learn(read: DataFrame, cfg: BoilerplateConfig) -> Scorer:
+    """Threshold and wording of the corpus; each pass moves one table of fixed size."""
+    sc = read.sparkSession.sparkContext
+    rows = read.select(F.posexplode("bins").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    bins = np.zeros(_BINS)
+    for r in rows:
+        bins[r["bin"]] = r["n"]
+    cut, wording = _cluster(bins), None
+    for _ in range(cfg.passes):
+        told = sc.broadcast((cut, wording))
+
+        def count(batches: Iterator[pa.RecordBatch], told=told) -> Iterator[pa.RecordBatch]:
+            scorer = Scorer(cfg, *told.value)
+            low, high = np.zeros(1 << _BITS), np.zeros(1 << _BITS)
+            for _, _, x in _chunks(batches):
+                p = np.repeat(_sigmoid(scorer.score(x)[0]), x["pairs"])
+                low += np.bincount(x["buckets"], p, minlength=1 << _BITS)
+                high += np.bincount(x["buckets"], 1 - p, minlength=1 << _BITS)
+            at = np.flatnonzero(low + high)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(low[at]), pa.array(high[at])], names=["bucket", "low", "high"])
+
+        got = read.drop("bins").mapInArrow(count, "bucket int, low double, high double").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).toArrow()
+        low, high = np.zeros(1 << _BITS), np.zeros(1 << _BITS)
+        at = got.column("bucket").to_numpy()
+        low[at], high[at] = got.column("low").to_numpy(), got.column("high").to_numpy()
+        share = min(max(low.sum() / max(low.sum() + high.sum(), 1e-9), 1e-6), 1 - 1e-6)
+        new = (np.log((low + 2 * share) / (high + 2 * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
+        weight = low + high
+        moved = float(np.abs(new - (0 if wording is None else wording)) @ weight / max(weight.sum(), 1e-9))
+        wording = new
+        if moved < cfg.settled:
+            break
+    return Scorer(cfg, cut, wording)
+
+
+def _furniture(pages: DataFrame, cfg: BoilerplateConfig) -> DataFrame:
+    """pos, h (hash of the content), line_no"""
+    ensure_checkpoint_dir(pages.sparkSession)
+    texts = pages.filter("content is not null").select(F.col("pos").cast("bigint").alias("pos"), F.xxhash64("content").alias("h"), "content")
+    read = texts.mapInArrow(_read(cfg), _READ_SCHEMA).checkpoint()
+    scorer = _learn(read, cfg)
+    told = pages.sparkSession.sparkContext.broadcast((scorer.cut, scorer.wording))
 
-    return pages.filter("content is not null").select(F.col("pos").cast("bigint").alias("pos"), "content").mapInArrow(run, "pos bigint, line_no int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Scorer(cfg, *told.value)
+        for pos, h, x in _chunks(batches):
+            out = np.flatnonzero(own.furniture(x))
+            page = x["page"][out]
+            yield pa.RecordBatch.from_arrays([pa.array(pos[page]), pa.array(h[page]), pa.array(x["line_no"][out])], names=["pos", "h", "line_no"])
 
+    return read.drop("bins").mapInArrow(run, "pos bigint, h bigint, line_no int")
 
-def main_content(pages: DataFrame, cfg: BoilerplateConfig | None = None) -> DataFrame:
-    """pos, main: each content without its furniture lines; null stays null."""
-    cfg = cfg or BoilerplateConfig()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Extractor(cfg)
-        for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                drop = set(own.furniture(text)) if text else set()
-                out.append("\n".join(ln for i, ln in enumerate(text.split("\n")) if i not in drop) if text is not None else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["pos", "main"])
+def boilerplate_lines(pages: DataFrame, cfg: BoilerplateConfig | None = None) -> DataFrame:
+    """pos, line_no of the furniture lines of ``pages`` (pos, content)."""
+    return _furniture(pages, cfg or BoilerplateConfig()).select("pos", "line_no")
+
 
-    return pages.select(F.col("pos").cast("bigint").alias("pos"), "content").mapInArrow(run, "pos bigint, main string")
+def main_content(pages: DataFrame, cfg: BoilerplateConfig | None = None) -> DataFrame:
+    """pos, main: each content without its furniture lines; null stays null."""
+    drop = _furniture(pages, cfg or BoilerplateConfig()).groupBy("pos", "h").agg(F.collect_set("line_no").alias("drop"))
+    rows = pages.select(F.col("pos").cast("bigint").alias("pos"), "content", F.xxhash64("content").alias("h"))
+    lines = F.filter(F.transform(F.split("content", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda r: ~F.array_contains("drop", r["i"]))
+    kept = F.when(F.col("drop").isNull(), F.col("content")).otherwise(F.array_join(F.transform(lines, lambda r: r["x"]), "\n"))
+    return rows.join(drop, ["pos", "h"], "left").select("pos", kept.alias("main"))

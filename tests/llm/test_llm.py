@@ -196,6 +196,25 @@ def test_furniture_outside_the_lists(spark):
     assert got[1] >= {0, 1} and got[2] == {2, 3, 4} and got[3] >= {2, 3} and got[4] == {0, 1, 2} and 5 not in got
 
 
+def test_wording_is_learned_without_the_lists(spark):
+    rng = random.Random(4)
+    nouns = "council budget harbour bridge school library orchard railway museum market river tower".split()
+    told = lambda: " ".join(f"The {rng.choice(nouns)} near the {rng.choice(nouns)} will be looked at again before the {rng.choice(nouns)} opens in {rng.randint(2, 28)} days." for _ in range(3))
+    pages, want = [], set()
+    for i in range(120):
+        lines = ["Zum Warenkorb | Mein Profil | Filialsuche", f"What the {rng.choice(nouns)} needs", told(), told(), told(), *rng.sample(["Bewerten Sie uns", "Filiale in der Nähe finden", "Gutschein einlösen"], 3)]
+        drop = {0, 5, 6, 7}
+        if i % 4 == 0:  # the wording of the edges between two paragraphs
+            lines.insert(3, "Gutschein einlösen")
+            drop = {0, 3, 6, 7, 8}
+        pages.append((i, "\n".join(lines)))
+        want |= {(i, n) for n in drop}
+    df = spark.createDataFrame(pages, "pos long, content string")
+    got = {(r.pos, r.line_no) for r in boilerplate.boilerplate_lines(df, boilerplate.BoilerplateConfig(hint=0.0)).collect()}
+    assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 0.05 * len(got)
+    assert {(i, 3) for i in range(0, 120, 4)} <= got
+
+
 def test_events():
     chars, tags = boilerplate.line_events("<p>ab</p>\ncd <b>e</b>")
     assert chars == [2, 3] and tags == [2, 2]
