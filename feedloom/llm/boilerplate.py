@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.wording import BITS, ENDS, Signs, Tokens, code_points, counted, grouped, totals
 from feedloom.session import ensure_checkpoint_dir
 
 #: Headings of lists of other stories.
@@ -73,7 +74,6 @@ _READ_ALSO = re.compile(rf"^(?:{READ_ALSO})\s?[:：]\s?\S", re.IGNORECASE)
 _PHRASE = re.compile(PHRASES, re.IGNORECASE)
 _SEPARATOR = re.compile(r"\s[|·/•»]\s|\s{2,}|\s?｜\s?")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
-_ENDS = frozenset(".!?。！？…;；:：,，\"”»」)’")
 _MARKS = (" | ", " · ", " / ", " • ", " » ", "  ", "｜")
 #: Every match of PHRASES holds one of these, in lower case.
 CUE_WORDS = (
@@ -164,7 +164,7 @@ class Hints:
         return k
 
     def _kind(self, line: str) -> int:
-        ended = line[-1] in _ENDS
+        ended = line[-1] in ENDS
         if len(line) < 60 and not ended and _HEADING.match(line):
             return 2
         low = line.lower()
@@ -179,7 +179,8 @@ class Hints:
                 known = sum(x.strip().lower() in self.cfg.menu_items for x in items)
                 if known * 2 >= len(items) or (len(items) >= 3 and max(map(len, items)) <= 28):
                     return 1
-        if next(self.cues.iter(low), None) is not None and (self._dense(line) if len(line) >= 260 else _PHRASE.search(line)) and (len(line) < 60 or not self._story(line)):
+        # the names test is the cheaper one, so it comes first
+        if next(self.cues.iter(low), None) is not None and (len(line) < 60 or not self._story(line)) and (self._dense(line) if len(line) >= 260 else _PHRASE.search(line)):
             return 1
         return 3 if ended and len(line) > (8 if line[0] > "⺀" else 18) else 0
 
@@ -196,48 +197,21 @@ class Hints:
         return re.search(r"(?<!^)(?<![.!?·] )\b[A-ZÀ-Þ][a-zà-ÿ]+ [A-ZÀ-Þ][a-zà-ÿ]+", line) is not None
 
 
-_BITS = 16
 _CAP = 120.0
-_CHUNK = 1_000_000
-
-
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """By code point of the basic plane: class (1 letter, 2 digit, 3 ideograph, 4 sign that counts as a token), lower case, space, end of a sentence, separator."""
-    n = 1 << 16
-    kind, low = np.zeros(n, np.uint8), np.arange(n, dtype=np.uint32)
-    space, ends, seps = (np.zeros(n, bool) for _ in range(3))
-    for i in range(n):
-        c = chr(i)
-        if c.isdigit():
-            kind[i] = 2
-        elif c.isalpha():
-            kind[i] = 3 if i >= 0x2E80 else 1
-        space[i] = c.isspace()
-        if len(c.lower()) == 1:
-            low[i] = ord(c.lower())
-    for c in "©·|•»:：/":
-        kind[ord(c)] = 4
-    for c in _ENDS:
-        ends[ord(c)] = True
-    for c in "|·/•»":
-        seps[ord(c)] = True
-    return kind, low, space, ends, seps
 
 
 class LineReader:
     """Texts to numbers of their lines, for many texts at once."""
 
     def __init__(self, cfg: BoilerplateConfig):
-        self.kind, self.low, self.space, self.ends, self.seps = _tables()
-        self.powers = np.cumprod(np.full(64, 0x100000001B3, np.uint64), dtype=np.uint64)
+        self.signs = Signs()
         self.hints = Hints(cfg) if cfg.hint else None
 
     def lines(self, texts: list[str]) -> dict[str, np.ndarray]:
         """Of the non-blank lines: page (index in texts), line_no, size (width of the text over tags and separators), sent (reads as a sentence), tags,
         loose (a line of links or hash tags alone), hint, count of token pairs, and of these the buckets, in one array."""
         big = "\n".join(texts)
-        cp = np.frombuffer(big.encode("utf-32-le", "surrogatepass"), np.uint32)
-        cp = np.minimum(cp, 0xFFFD).astype(np.uint16)
+        cp = code_points(big)
         n = len(cp)
         newline = cp == 10
         breaks = np.flatnonzero(newline)
@@ -245,7 +219,7 @@ class LineReader:
         per = np.array([t.count("\n") + 1 for t in texts], np.int64)
         page = np.repeat(np.arange(len(texts), dtype=np.int32), per)
         line_no = (np.arange(len(page)) - np.repeat(np.cumsum(per) - per, per)).astype(np.int32)
-        space = self.space[cp]
+        space = self.signs.space[cp]
         ink = np.flatnonzero(~space)
         lo = np.searchsorted(ink, first)
         hi = np.searchsorted(ink, after)
@@ -255,11 +229,11 @@ class LineReader:
         size = end - start + 1
         m = len(start)
         wide = cp[start] > 0x2E80 if m else np.zeros(0, bool)
-        ended = self.ends[cp[end]] if m else np.zeros(0, bool)
+        ended = self.signs.ends[cp[end]] if m else np.zeros(0, bool)
         # a sign between spaces, a full-width bar, or spaces in a row
         sep = np.zeros(n, bool)
         if n > 2:
-            sep[1:-1] = self.seps[cp[1:-1]] & space[:-2] & space[2:]
+            sep[1:-1] = self.signs.seps[cp[1:-1]] & space[:-2] & space[2:]
             gap = np.zeros(n, bool)
             gap[1:] = space[1:] & space[:-1] & ~newline[1:] & ~newline[:-1]
             gap[1:] &= ~gap[:-1]
@@ -285,39 +259,15 @@ class LineReader:
             if hits is None:
                 look[:] = True
             elif hits:
-                look[np.minimum(np.searchsorted(end, hits), m - 1)] = True
+                # a long line of notices holds two phrases or more
+                per_line = np.bincount(np.minimum(np.searchsorted(end, hits), m - 1), minlength=m)
+                look |= (per_line > 1) | ((per_line > 0) & (end - start < 259))
             for i in np.flatnonzero(look):
                 # a long line of notices holds several phrases
                 hint[i] = (self.hints.kind(lines[i]) in (1, 2)) * (2 if len(lines[i]) >= 260 and tags[i] == 0 else 1)
-        buckets, owner = self._pairs(cp, start, end)
+        buckets, owner = Tokens(self.signs, cp, end).pairs()
         return {"page": page, "line_no": line_no, "size": (size / (1 + tags)).astype(np.float32), "sent": sent, "tags": tags.astype(np.int32), "loose": loose, "hint": hint, "pairs": np.bincount(owner, minlength=m).astype(np.int32), "buckets": buckets}
 
-    def _pairs(self, cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of the pairs of neighbouring tokens, both ends of a line included, and the line of each, in the order of lines."""
-        kind = self.kind[cp]
-        begins = kind > 0
-        begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] >= 3)
-        at = np.flatnonzero(begins)
-        if not len(at):
-            return np.zeros(0, np.uint16), np.zeros(0, np.int64)
-        inner = np.flatnonzero(kind > 0)
-        token = np.cumsum(begins[inner]) - 1
-        letter = self.low[cp[inner]].astype(np.uint64) * self.powers[np.minimum(inner - at[token], 63)]
-        letter[kind[inner] == 2] = 0
-        h = np.add.reduceat(letter, np.searchsorted(inner, at))
-        line = np.searchsorted(end, at)
-        opens = np.concatenate(([True], line[1:] != line[:-1]))
-        closes = np.concatenate((opens[1:], [True]))
-        left = np.concatenate((np.zeros(1, np.uint64), h[:-1]))
-        left[opens] = 7
-        # one pair for each token with what stands before it, and one for the last of a line
-        both = np.concatenate((left * np.uint64(0xC2B2AE3D27D4EB4F) ^ h * np.uint64(0x9E3779B97F4A7C15), h[closes] * np.uint64(0xC2B2AE3D27D4EB4F) ^ np.uint64(0xABCDEF)))
-        owner = np.concatenate((line, line[closes]))
-        both ^= both >> np.uint64(29)
-        both *= np.uint64(0xBF58476D1CE4E5B9)
-        order = np.argsort(owner, kind="stable")
-        return (both >> np.uint64(64 - _BITS)).astype(np.uint16)[order], owner[order]
-
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -411,15 +361,7 @@ def _read(cfg: BoilerplateConfig):
             data += [pa.array([x[k].astype(t).tobytes()], pa.binary()) for k, t in _FIELDS.items()]
             return pa.RecordBatch.from_arrays([*data, pa.array([bins.tolist()], pa.list_(pa.int64()))], names=["pos", "h", *_FIELDS, "bins"])
 
-        part, size = [], 0
-        for batch in batches:
-            for item in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                part.append(item)
-                size += len(item[2])
-                if size > _CHUNK:
-                    yield row(part)
-                    part, size = [], 0
-        if part:
+        for part in grouped(batches, 2):
             yield row(part)
 
     return run
@@ -464,18 +406,14 @@ def _learn(read: DataFrame, cfg: BoilerplateConfig) -> Scorer:
 
         def count(batches: Iterator[pa.RecordBatch], told=told) -> Iterator[pa.RecordBatch]:
             scorer = Scorer(cfg, *told.value)
-            low, high = np.zeros(1 << _BITS), np.zeros(1 << _BITS)
+            low, high = np.zeros(1 << BITS), np.zeros(1 << BITS)
             for _, _, x in _chunks(batches):
                 p = np.repeat(_sigmoid(scorer.score(x)[0]), x["pairs"])
-                low += np.bincount(x["buckets"], p, minlength=1 << _BITS)
-                high += np.bincount(x["buckets"], 1 - p, minlength=1 << _BITS)
-            at = np.flatnonzero(low + high)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(low[at]), pa.array(high[at])], names=["bucket", "low", "high"])
-
-        got = read.drop("bins").mapInArrow(count, "bucket int, low double, high double").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).toArrow()
-        low, high = np.zeros(1 << _BITS), np.zeros(1 << _BITS)
-        at = got.column("bucket").to_numpy()
-        low[at], high[at] = got.column("low").to_numpy(), got.column("high").to_numpy()
+                low += np.bincount(x["buckets"], p, minlength=1 << BITS)
+                high += np.bincount(x["buckets"], 1 - p, minlength=1 << BITS)
+            yield counted(low, high)
+
+        low, high = totals(read.drop("bins"), count)
         share = min(max(low.sum() / max(low.sum() + high.sum(), 1e-9), 1e-6), 1 - 1e-6)
         new = (np.log((low + 2 * share) / (high + 2 * (1 - share))) - np.log(share / (1 - share))).astype(np.float32)
         weight = low + high
