@@ -10,7 +10,10 @@ holds over all records:
 * a message of an error page, a filler line or a failed-summary message is a whole-line template without
   name slots: a case; where names fill its slots it is a sentence of a story about such a thing: no case;
 * a text without names that is the whole field of several records is a template of its own, whatever its words and length: a case,
-  unless it is one short sentence that is often a part of longer fields.
+  unless it is one short sentence that is often a part of longer fields;
+* pages that consist of such templates only, without a name in any unit, teach the wording of error pages and filler: every pair of neighbouring
+  tokens is counted in them and in the units of other fields, and a unit without names whose pairs stand mostly in the former is residue,
+  wherever it occurs. This needs no list; the cue list below only sends units to alignment that are too rare to be learned.
 
 Defined results: null, empty and blank fields are no cases; repeated rows are cases each; fields of any length
 are read whole. One automaton pass over the text of an Arrow batch finds the fields that need a look; only their
@@ -26,18 +29,20 @@ from dataclasses import dataclass
 from hashlib import blake2b
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.wording import BITS, Signs, Tokens, code_points, counted, grouped, totals
 from feedloom.session import ensure_checkpoint_dir
 
 #: Marks of a variable: braces, brackets, percent signs and the like round a name, or a written-out default.
 MARK = (
-    r"\{\{[^{}\n]{0,60}\}\}|\{%[^%\n]{0,60}%\}|\$\{[^}\n]{1,60}\}|\$\[[A-Za-z_ .]{1,40}\]|\[\[[^\[\]\n]{1,60}\]\]"
-    r"|\{[^\W\d][\w. -]{0,40}\}|<(?!/|(?:a|p|b|i|u|br|em|li|ul|ol|td|tr|th|hr|h[1-6]|div|img|span|strong|table|script|style|noscript|section|article|figure|iframe|input|form|video|source|link|meta|svg)\b)[^\W\d][\w. -]{1,40}>"
-    r"|\[(?:INSERT|insert|ENTER|YOUR|your|TODO|TBD|TK)\b[^\]\n]{0,40}\]|\[[^\W\d]+(?:[_. ][^\W\d]+){0,4}(?: TB[CDA])?\](?!\()|\[object Object\]"
-    r"|%[A-Za-z_][A-Za-z_. ]{1,40}%|@@[^@\n]{1,40}@@|##?[A-Za-z_]+(?:[._ ][A-Za-z_]+)*#{1,2}(?![A-Za-z0-9])|__+[A-Za-z][A-Za-z_. ]{0,40}?__+|〔[^〕\n]{1,40}〕|（此处[^）\n]{0,30}）|【(?:此处|插入|填写)[^】\n]{0,30}】"
+    r"\{\{[^{}\n]*\}\}|\{%[^%\n]*%\}|\$\{[^}\n]+\}|\$\[[A-Za-z_ .]+\]|\[\[[^\[\]\n]+\]\]"
+    r"|\{[^\W\d][\w. -]*\}|<(?!/|(?:a|p|b|i|u|br|em|li|ul|ol|td|tr|th|hr|h[1-6]|div|img|span|strong|table|script|style|noscript|section|article|figure|iframe|input|form|video|source|link|meta|svg)\b)[^\W\d][\w. -]+>"
+    r"|\[(?:INSERT|insert|ENTER|YOUR|your|TODO|TBD|TK)\b[^\]\n]*\]|\[[^\W\d]+(?:[_. ][^\W\d]+){0,4}(?: TB[CDA])?\](?!\()|\[object Object\]"
+    r"|%[A-Za-z_][A-Za-z_. ]+%|@@[^@\n]+@@|##?[A-Za-z_]+(?:[._ ][A-Za-z_]+)*#{1,2}(?![A-Za-z0-9])|__+[A-Za-z][A-Za-z_. ]*?__+|〔[^〕\n]+〕|（此处[^）\n]*）|【(?:此处|插入|填写)[^】\n]*】"
     r"|(?<![A-Za-z0-9])\$[A-Z][A-Z_]{2,}(?![A-Za-z0-9])|\$NaN|(?<![A-Za-z0-9])X{2,}(?![A-Za-z0-9])|(?<![A-Za-z0-9_])_{2,}(?![A-Za-z0-9_])"
     r"|(?<![A-Za-z0-9])(?:TODO|TBD|TBC|FIXME|TKTK|NaN|undefined|null|None)(?![A-Za-z0-9])"
 )
@@ -61,7 +66,7 @@ CUES = tuple(
 #: Whole fields that say nothing.
 EMPTY_WORDS = r"(?i)^(?:undefined|null|none|nan|n/?a|xxx+|tbd|tba|todo|todo: .{1,30}|\[?summary\]?|x|…|\.{3})$"
 
-_UNIT = r"\n|(?<=[.!?])\s+(?=[A-ZÀ-Þ一-鿿\"“«{<\[%@#_$〔])|(?<=[。！？])"
+_OPENING = "\"“«{<[%@#_$〔"
 _WORD = r"(?!(?:Der|Die|Das|Sie|Ihre?|Ein|Eine|Bitte|Die|Trace|Request|Error|Access|Page|JavaScript|Code|Not|The|Your|You|Please|This|Too|Body|Sample)\b)[A-ZÀ-Þ][A-Za-zÀ-ÿ0-9’'-]*"
 _NAME = rf"{_WORD}(?:\s+(?:{_WORD}|&))+"
 _SINGLE = rf"(?<=[a-zà-ÿ一-鿿，、,;:]\s){_WORD}|(?<=[一-鿿，、]){_WORD}"
@@ -69,7 +74,8 @@ _SINGLE = rf"(?<=[a-zà-ÿ一-鿿，、,;:]\s){_WORD}|(?<=[一-鿿，、]){_WORD
 
 @dataclass(frozen=True)
 class ResidueConfig:
-    """min_support: records or distinct texts of a template from which its slots are judged; short_unit: words up to which a message is judged alone."""
+    """min_support: records or distinct texts of a template from which its slots are judged; short_unit: words up to which a message is judged alone; learned: mean log odds
+    of its pairs from which on a unit is residue; pairs: least pairs that are heard."""
 
     mark: str = MARK
     openers: tuple[str, ...] = OPENERS
@@ -79,6 +85,8 @@ class ResidueConfig:
     whole_repeats: int = 5
     part_share: float = 0.1
     whole_chars: int = 80
+    learned: float = 0.5
+    pairs: int = 3
 
 
 def fields(summarized: DataFrame) -> DataFrame:
@@ -91,8 +99,65 @@ def fields(summarized: DataFrame) -> DataFrame:
     )
 
 
+class Units:
+    """Sentences and lines of many fields at once: ends of lines, spaces between a full stop and what opens a sentence, and places behind an ideographic full stop."""
+
+    def __init__(self) -> None:
+        self.signs = Signs()
+        n = 1 << 16
+        self.stop, self.full, self.opening = (np.zeros(n, bool) for _ in range(3))
+        for c in ".!?":
+            self.stop[ord(c)] = True
+        for c in "。！？":
+            self.full[ord(c)] = True
+        for c in _OPENING:
+            self.opening[ord(c)] = True
+        self.opening[0x4E00:0xA000] = True
+        self.opening |= self.signs.capital
+
+    def read(self, texts: list[str]) -> tuple[str, dict[str, np.ndarray]]:
+        """The joined texts, and of their units: field (index in texts), start, end (last character), named, and their token pairs."""
+        big = "\n".join(texts)
+        cp = code_points(big)
+        n, signs = len(cp), self.signs
+        space = signs.space[cp]
+        ink = np.flatnonzero(~space)
+        size = np.array([len(t) for t in texts], np.int64)
+        if not len(ink):
+            none = np.zeros(0, np.int64)
+            return big, {"field": none, "start": none, "end": none, "named": none.astype(bool), "pairs": none, "buckets": none.astype(np.uint16), "owner": none}
+        before, here = ink[:-1], ink[1:]
+        gap = here - before > 1
+        # a line end in the gap; or a stop before it and an opening sign behind it; or a full stop right before
+        lines = np.concatenate(([0], np.cumsum(cp == 10)))
+        new = (lines[here] - lines[before] > 0) | (gap & self.stop[cp[before]] & self.opening[cp[here]]) | self.full[cp[before]]
+        first = np.concatenate(([True], new))
+        start, end = ink[first], ink[np.concatenate((new, [True]))]
+        field = np.searchsorted(np.cumsum(size + 1), start, "right")
+        named = np.zeros(len(start), bool)
+        # two words with capitals: a capital behind a space, before it small letters that a capital opens
+        at = np.flatnonzero(signs.capital[cp])
+        at = at[at > 2]
+        at = at[(cp[at - 1] == 32) & signs.small[cp[at - 2]]]
+        other = np.flatnonzero(~signs.small[cp])
+        j = np.searchsorted(other, at - 2) - 1
+        opens = other[np.maximum(j, 0)]
+        pair = at[(j >= 0) & signs.capital[cp[opens]]]
+        named[np.minimum(np.searchsorted(end, pair), len(start) - 1)] = True
+        tokens = Tokens(signs, cp, end)
+        han = np.bincount(tokens.unit[tokens.kind == 3], minlength=len(start)) > 0
+        latin = np.bincount(tokens.unit[tokens.kind == 1], minlength=len(start)) > 0
+        named |= han & latin
+        buckets, owner = tokens.pairs()
+        return big, {"field": field, "start": start, "end": end, "named": named, "pairs": np.bincount(owner, minlength=len(start)), "buckets": buckets, "owner": owner}
+
+
+_SCHEMA = "pos bigint, field_name string, unit string, has_mark boolean, has_cue boolean, alone boolean, template string, filler string, names string, key binary, field binary, named binary, pairs binary, buckets binary"
+_BLOBS = ("key", "field", "named", "pairs", "buckets")
+
+
 def _suspicious(cfg: ResidueConfig):
-    """Arrow batches of (pos, field_name, text) to suspicious units with their template."""
+    """Arrow batches of (pos, field_name, text) to suspicious units with their template, and one row of numbers of all units for about a million characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cues = ahocorasick.Automaton()
@@ -101,8 +166,9 @@ def _suspicious(cfg: ResidueConfig):
         for c in cfg.cues:
             cues.add_word(c, c)
         cues.make_automaton()
-        mark, unit, name, one = re.compile(cfg.mark), re.compile(_UNIT), re.compile(_NAME), re.compile(_SINGLE)
+        mark, name, one = re.compile(cfg.mark), re.compile(_NAME), re.compile(_SINGLE)
         blank, ids, digits, empty = re.compile(r"\s+"), re.compile(r"(?<![^\W_])[0-9a-f]*\d[0-9a-f]*(?![^\W_])"), re.compile(r"\d+"), re.compile(EMPTY_WORDS)
+        reader = Units()
 
         def look(text: str) -> tuple[bool, bool]:
             """(may hold a mark, holds a cue)"""
@@ -119,44 +185,39 @@ def _suspicious(cfg: ResidueConfig):
         def names_in(u: str) -> bool:
             return pair.search(u) is not None or (not u.isascii() and han.search(u) is not None and latin.search(u) is not None)
 
-        for batch in batches:
+        for part in grouped(batches, 2):
             out: list[tuple] = []
             parts: dict[str, int] = {}
-            for pos, field_name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                short = None
-                long = len(text) > cfg.whole_chars
-                if long:
-                    # plain replacements: a count of short wording inside longer fields needs no exact sentence ends
-                    rough = text.replace("。", "。\n").replace(". ", ".\n").split("\n")
-                    short = [u for u in rough if u and len(u) <= cfg.whole_chars]
-                else:
+            big, x = reader.read([t for _, _, t in part])
+            bounds = np.searchsorted(x["field"], np.arange(len(part) + 1))
+            starts, ends, named = x["start"].tolist(), x["end"].tolist(), x["named"].tolist()
+            short = (x["end"] - x["start"] < cfg.whole_chars) & ~x["named"]
+            one_unit = np.diff(bounds) == 1
+            for i in np.flatnonzero(short & ~(one_unit[x["field"]] & (np.array([len(t) for _, _, t in part])[x["field"]] <= cfg.whole_chars))).tolist():
+                k = digits.sub("9", blank.sub(" ", big[starts[i] : ends[i] + 1]))
+                parts[k] = parts.get(k, 0) + 1
+            for f, (pos, field_name, text) in enumerate(part):
+                lo, hi = int(bounds[f]), int(bounds[f + 1])
+                if not any(named[lo:hi]) and not names_in(text):
                     whole = blank.sub(" ", text).strip()
-                    us = [u for u in unit.split(whole) if u and u.strip()]
-                    if len(us) == 1:
-                        if not names_in(whole):
-                            out.append((pos, field_name, whole, False, False, None, digits.sub("9", ids.sub("9", whole)), "", ""))
+                    k = digits.sub("9", ids.sub("9", whole))
+                    if len(text) <= cfg.whole_chars and hi - lo == 1:
+                        out.append((pos, field_name, whole, False, False, None, k, "", ""))
                     else:
-                        short, long = us, True
-                if long and not names_in(text):
-                    k = digits.sub("9", ids.sub("9", blank.sub(" ", text).strip()))
-                    out.append((pos, field_name, "", False, False, None, "⟦whole⟧" + blake2b(k.encode(), digest_size=16).hexdigest(), "", ""))
-                for u in short or ():
-                    if not names_in(u):
-                        k = digits.sub("9", blank.sub(" ", u).strip())
-                        parts[k] = parts.get(k, 0) + 1
+                        out.append((pos, field_name, "", False, False, None, "⟦whole⟧" + blake2b(k.encode(), digest_size=16).hexdigest(), "", ""))
                 opened, cued = look(text)
                 marked = opened and mark.search(text) is not None
                 alone = len(text) < 60 and empty.match(text.strip()) is not None
                 if not (marked or alone or cued):
                     continue
-                whole = text.strip()
                 if alone:
+                    whole = text.strip()
                     out.append((pos, field_name, whole, False, False, True, whole, "", ""))
                     continue
-                for u in unit.split(text):
-                    u = blank.sub(" ", u).strip()
+                for i in range(lo, hi):
+                    u = blank.sub(" ", big[starts[i] : ends[i] + 1])
                     m = mark.findall(u) if marked else []
-                    if not u or not (m or (cued and look(u)[1])):
+                    if not (m or (cued and look(u)[1])):
                         continue
                     masked = mark.sub("⟦s⟧", u) if m else u
                     cut = name.sub("⟨n⟩", masked)
@@ -165,14 +226,54 @@ def _suspicious(cfg: ResidueConfig):
                     out.append((pos, field_name, u, bool(m), not m, False, template, "|".join(m), "|".join(names)))
             out.extend((None, None, str(n), False, False, None, k, "", "") for k, n in parts.items())
             cols = list(zip(*out, strict=True)) or [()] * 9
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.string()), strict=True)],
-                names=["pos", "field_name", "unit", "has_mark", "has_cue", "alone", "template", "filler", "names"],
-            )
+            types = (pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.string())
+            names = ["pos", "field_name", "unit", "has_mark", "has_cue", "alone", "template", "filler", "names", *_BLOBS]
+            nothing = [pa.nulls(len(out), pa.binary())] * len(_BLOBS)
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(cols, types, strict=True)], *nothing], names=names)
+            key = np.array([p for p, _, _ in part], np.int64)
+            blobs = [key.tobytes(), x["field"].astype(np.int32).tobytes(), x["named"].tobytes(), x["pairs"].astype(np.int32).tobytes(), x["buckets"].tobytes()]
+            label = "\n".join(f or "" for _, f, _ in part)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, t) if i != 1 else pa.array([label]) for i, t in enumerate(types)] + [pa.array([b], pa.binary()) for b in blobs], names=names)
 
     return run
 
 
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(field names, positions, field of units, named, pairs of units, buckets) of each chunk."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            label, key, *rest = (batch.column(k)[i].as_py() for k in ("field_name", *_BLOBS))
+            yield label.split("\n"), np.frombuffer(key, np.int64), *(np.frombuffer(b, t) for b, t in zip(rest, (np.int32, np.bool_, np.int32, np.uint16), strict=True))
+
+
+def _learned(numbers: DataFrame, cfg: ResidueConfig) -> DataFrame:
+    """pos, field_name of the fields with a unit that reads as those of pages without any name."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.zeros(1 << BITS), np.zeros(1 << BITS)
+        for _, key, field, named, pairs, buckets in _numbers(batches):
+            story = np.bincount(field[named], minlength=len(key)) > 0
+            plain = np.repeat(~named, pairs)
+            of_story = np.repeat(story[field], pairs)
+            low += np.bincount(buckets[plain & ~of_story], minlength=1 << BITS)
+            high += np.bincount(buckets[plain & of_story], minlength=1 << BITS)
+        yield counted(low, high)
+
+    low, high = totals(numbers, count)
+    # where most text has no names, their absence tells nothing: then the odds are those over the odds of all pairs
+    base = max(0.0, float(np.log((low.sum() + 1) / (high.sum() + 1))))
+    told = numbers.sparkSession.sparkContext.broadcast((np.log((low + 1) / (high + 2)) - base).astype(np.float32))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for label, key, field, named, pairs, buckets in _numbers(batches):
+            owner = np.repeat(np.arange(len(field)), pairs)
+            mean = np.bincount(owner, told.value[buckets], minlength=len(field)) / np.maximum(pairs, 1)
+            hit = np.unique(field[(mean > cfg.learned) & ~named & (pairs >= cfg.pairs)])
+            yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array([label[i] for i in hit.tolist()], pa.string())], names=["pos", "field_name"])
+
+    return numbers.mapInArrow(judge, "pos bigint, field_name string")
+
+
 def find_residue(records: DataFrame, cfg: ResidueConfig | None = None) -> DataFrame:
     """pos, field_name of every field of ``records`` (pos, field_name, text) that holds residue."""
     cfg = cfg or ResidueConfig()
@@ -180,10 +281,12 @@ def find_residue(records: DataFrame, cfg: ResidueConfig | None = None) -> DataFr
     found = (
         records.filter("text is not null and trim(text) <> ''")
         .select(F.col("pos").cast("bigint").alias("pos"), "field_name", "text")
-        .mapInArrow(_suspicious(cfg), "pos bigint, field_name string, unit string, has_mark boolean, has_cue boolean, alone boolean, template string, filler string, names string")
+        .mapInArrow(_suspicious(cfg), _SCHEMA)
         .withColumn("h", F.xxhash64("template"))
-        .checkpoint()  # the texts are read once; the suspicious units, a small part of them, several times
+        .checkpoint()  # the texts are read once; the suspicious units, a small part of them, and the numbers of all units several times
     )
+    learned = _learned(found.filter("key is not null").select("field_name", *_BLOBS), cfg)
+    found = found.filter("key is null").drop(*_BLOBS)
     # whole fields; short ones against the same wording inside longer fields
     single = found.filter("alone is null")
     wording = single.groupBy("h").agg(F.count("pos").alias("whole"), F.sum(F.when(F.col("pos").isNull(), F.col("unit").try_cast("bigint"))).alias("part"))
@@ -206,7 +309,7 @@ def find_residue(records: DataFrame, cfg: ResidueConfig | None = None) -> DataFr
     varied = F.col("template").contains("⟨w⟩") & F.col("names_vary") & (F.col("texts") >= cfg.min_support)
     story = ((F.col("template").contains("⟨n⟩") & ~constant_names) | varied) & (words > cfg.short_unit)
     case = F.col("alone") | (F.col("has_mark") & ~quoted) | (F.col("has_cue") & ~F.col("has_mark") & ~story)
-    return judged.filter(case).select("pos", "field_name").unionByName(repeated).distinct()
+    return judged.filter(case).select("pos", "field_name").unionByName(repeated).unionByName(learned).distinct()
 
 
 def residue_fields(summarized: DataFrame, cfg: ResidueConfig | None = None) -> DataFrame:

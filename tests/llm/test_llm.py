@@ -33,6 +33,21 @@ def test_long_repeated_pages_are_residue(spark):
     assert residue_cases(spark, texts) == list(range(11))
 
 
+def test_wording_of_pages_without_names_is_learned(spark):
+    rng = random.Random(6)
+    words = "vero harum quod ipsa odit natus".split()
+    filler = lambda: " ".join(rng.choice(words) for _ in range(12)).capitalize() + "."
+    story = lambda: f"The council of {rng.choice(['Port Alder', 'Tallis Bay'])} met on Monday. Neither side named a date. Costs fell by {rng.randint(2, 9)}%."
+    texts = [filler() + " " + filler() for _ in range(60)] + [story() for _ in range(200)] + [story() + "\n" + filler() for _ in range(5)] + ["Neither side named a date."] * 3
+    # no list of cues, no two fields alike
+    assert residue_cases(spark, texts, cues=()) == [*range(60), *range(260, 265)]
+
+
+def test_long_marks(spark):
+    long = "Real text about a firm, then {{ " + "the name of the firm that paid for it all " * 3 + "}} and more of it."
+    assert residue_cases(spark, [long, "Real text about a firm and more of it."]) == [0]
+
+
 # --- problem 4 -------------------------------------------------------------------------------------------------------
 def test_truncation(spark):
     rng = random.Random(1)
