@@ -1,22 +1,26 @@
 """Problem 5: variant spellings of names typed by people.
 
-Merge-and-rematch resolution. Every spelling starts as a record with a normal form: accents and case folded, company
-forms, titles and list wording gone, joined words split, abbreviations and nicknames written out. Each round a cluster's
-profile, the union of its members' forms, initials and acronyms, enters blocking with several kinds of keys:
+Merge-and-rematch resolution. A spelling becomes a normal form: accents and case folded, legal forms, titles and wording of lists gone, joined words
+split. No word is known beforehand: words that many names of the table share (``general``) are found by counting, so any word may be the one that tells
+two names apart, and words that name many entities never count as misspellings of each other.
 
-* whole name (words in any order) and whole name with one letter deleted from one word: a typo links two clusters if the words
-  are within one edit;
-* name without its descriptor, with a part cut to an initial, or as an acronym: an abbreviated cluster links only where exactly one
-  full cluster has the key.
+Links that two names carry by themselves are found once:
 
-Merged clusters have richer profiles, so a typo of a shortened name finds its entity one round later; rounds go on until
-nothing merges. Blocks of equal keys link as stars to their first cluster, and only counts, minima and maxima of a block are
-aggregated, so a hot key is pre-aggregated and costs one row a partition. In a deletion block all distinct names are compared, as
-one edit is not transitive; such a block holds at most the names that one more letter makes of its key, whatever the number of rows.
-Clusters are joined by minimum-label propagation with checkpoints.
+* the same words in any order;
+* the same words but for one edit in one of them (blocked by words with one letter deleted, then verified);
+* the same first words, within one edit, and an abbreviation or other form of the last ones (``mtls``, ``dyn.``, ``VP``).
+
+A shortened name (words left out, a word cut to its initial, an acronym, a short form of a given name) is compared with the clusters: it joins one only if
+all names it may stand for lie in that cluster. Merged clusters have richer profiles, the shortenings of all their members, and re-enter this
+comparison; rounds go on until nothing merges. Exact shortenings come before shortenings with a typing error.
+
+Keys are 64-bit hashes of distinct normal forms, emitted once; rounds move labels of names only. Pairs arise between distinct names of a block
+of deletions, which holds at most the names that one more letter makes of its key; equal forms of any number of rows are one name. Clusters are joined by
+minimum-label propagation with checkpoints.
 
 Defined results: null and blank names and unknown-words are no names; spellings that are equal need no pair; a name that fits
-two entities is linked to neither. Each pair of different spellings of an entity is one row, name_a < name_b in code point order.
+two entities is linked to neither. ``resolve`` (one row a spelling, with its entity) is the form that scales; ``variant_pairs`` writes each pair of different
+spellings of an entity as one row, name_a < name_b in code point order.
 """
 
 from __future__ import annotations
@@ -27,24 +31,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.components import connected_components
 from feedloom.operators.packed import UNKNOWN_WORDS, investors
 from feedloom.session import ensure_checkpoint_dir
 
 FORMS = frozenset("inc llc ltd lp llp corp co company plc gmbh ag sa sas sarl bv nv oy ab kk pte pty srl spa limited incorporated corporation".split())
 TITLES = frozenset("dr prof mr mrs ms sir the".split())
 
-#: Descriptors at the end of firms' names, with the forms that people shorten or vary them to.
-DESCRIPTORS = {
-    "partners": "partner ptnrs prtnrs", "capital": "cap cptl", "ventures": "venture vent vc", "venture partners": "vp", "growth fund": "gf growth fund", "holdings": "holding hldgs hldg hold", "investments": "investment invest inv invs", "equity": "eq eqty",
-    "management": "mgmt mgt", "group": "grp", "advisors": "advisers adv", "fund": "fd",
-    "robotics": "robot robots robo rbt", "labs": "lab laboratories laboratory", "energy": "energies en enrg", "bio": "biotech biosciences bioscience biotechnology biotechnologies", "health": "healthcare hlth hc", "dynamics": "dynamic dyn",
-    "systems": "system sys syst", "networks": "network networking netw net", "semiconductor": "semi semicon semiconductors semis", "materials": "material mtls mat mats", "technologies": "technology tech techs", "compute": "computing comp computer", "mobility": "mob mobil mobile",
-    "security": "secure sec secur", "analytics": "analytix anal analytic", "software": "sw soft", "therapeutics": "tx thera", "pharma": "pharmaceuticals", "ai": "",
-}
-
 #: Given names and their short forms.
 NICKNAMES = {
     "alexander": "alex sandy xander lex sasha", "alexandra": "alex sandra sasha xandra lexi allie", "andrew": "andy drew", "anthony": "tony", "benjamin": "ben benny", "catherine": "cathy kate cat", "charles": "charlie chuck chas chaz", "christopher": "chris kit", "daniel": "dan danny", "david": "dave davy", "dorothy": "dot dottie dolly dory thea",
@@ -52,7 +49,6 @@ NICKNAMES = {
     "leonard": "leo len lenny", "margaret": "maggie peggy meg marge greta peg rita", "matthew": "matt", "michael": "mike mick mikey", "nathaniel": "nat nate nathan", "nicholas": "nick nico", "patricia": "pat patty trish", "rebecca": "becky", "richard": "dick rick rich richie ricky", "robert": "bob rob bobby robbie bert", "samuel": "sam", "stephen": "steve", "susanne": "sue susi susie suzy suzie susan sanne", "theodore": "ted theo teddy", "thomas": "tom tommy", "timothy": "tim", "victoria": "vicky vicki tori vic", "william": "bill will billy willy liam",
 }
 
-_ALIAS = {alias: name for name, aliases in DESCRIPTORS.items() for alias in (name, *aliases.split())}
 _GIVEN: dict[str, list[str]] = {}
 for _full, _short in NICKNAMES.items():
     _GIVEN.setdefault(_full, []).insert(0, _full)
@@ -61,26 +57,19 @@ for _full, _short in NICKNAMES.items():
 
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ]{2})(?=[A-ZÀ-Þ][a-zà-ÿ])")
 _HAN_PREFIX = re.compile(r"^[一-鿿]+\s+(?=[A-Za-z])|\s+[一-鿿]+$")
-_FIRM = re.compile(r"^(?:the )?(\w+) (?:firm|company|start-?up|maker|specialist|group|provider|developer) (\S+ \S+.*)$", re.IGNORECASE)
+_FIRM = re.compile(r"^(?:the )?([^\W\d_]+) (?:firm|company|start-?up|maker|specialist|group|provider|developer) (\S+ \S+.*)$", re.IGNORECASE)
+_VOWELS = frozenset("aeiou")
 
 
 @dataclass(frozen=True)
 class VariantConfig:
-    """max_rounds bounds the rounds as a safety net; resolution ends when a round merges nothing."""
-
-    max_rounds: int = 8
-    max_label_rounds: int = 40
+    """general_share, general_least: share and number of a field's names from which on a word is general; typo_letters: least letters of a word in which an edit is
+    looked for; max_rounds: resolution ends when a round merges nothing and raises if that does not come within so many rounds."""
 
-
-@dataclass(frozen=True)
-class Form:
-    """A normal form: kind P(erson) or F(irm); words in order; descriptor; initials by place; whether it is an acronym."""
-
-    kind: str
-    words: tuple[str, ...]
-    descriptor: str = ""
-    acronym: bool = False
-    unsure: bool = False
+    general_share: float = 0.01
+    general_least: int = 8
+    typo_letters: int = 4
+    max_rounds: int = 50
 
 
 def fold(s: str) -> str:
@@ -102,16 +91,6 @@ def one_edit(a: str, b: str) -> bool:
     return a[i:] == b[i + 1 :] if len(a) < len(b) else a[i + 1 :] == b[i:]
 
 
-def _near(word: str, known: dict) -> str | None:
-    """The known word within one edit, if there is one and only one of its length class."""
-    if word in known:
-        return word
-    if len(word) < 4:
-        return None
-    found = {k for k in known if len(k) >= 4 and abs(len(k) - len(word)) <= 1 and one_edit(word, k)}
-    return found.pop() if len(found) == 1 else None
-
-
 def _given_name(word: str) -> str | None:
     """A given name or short form as typed, or the one full name that all names within one edit stand for."""
     if word in _GIVEN:
@@ -123,117 +102,37 @@ def _given_name(word: str) -> str | None:
     return common.pop() if len(common) == 1 else None
 
 
-def _descriptor(word: str) -> str:
-    bare = word.rstrip(".")
-    if bare in _ALIAS:
-        return _ALIAS[bare]
-    if word.endswith(".") and len(bare) >= 2:
-        hits = [d for d in DESCRIPTORS if " " not in d and d.startswith(bare)]
-        if len(hits) == 1:
-            return hits[0]
-    near = {_ALIAS[k] for k in _ALIAS if len(k) >= 4 and abs(len(k) - len(bare)) <= 1 and one_edit(bare, k)} if len(bare) >= 5 else set()
-    return near.pop() if len(near) == 1 else ""
-
-
-def normal_form(spelling: str, field: str) -> Form | None:
-    """The normal form of a spelling, None for what is no name."""
+def normal_form(spelling: str, field: str) -> str | None:
+    """The normal form of a spelling: its words, or "=" and the letters of an acronym; None for what is no name."""
     raw = " ".join(spelling.split())
     if raw.lower() in UNKNOWN_WORDS or not any(c.isalpha() for c in raw):
         return None
     s = _HAN_PREFIX.sub("", raw)
-    if field == "investors" and (re.fullmatch(r"[A-Z]{2,6}", s)):
-        return Form("F", tuple(s.lower()), acronym=True)
+    if field == "investors" and re.fullmatch(r"[A-Z]{2,6}", s):
+        return "=" + s.lower()
     nick = re.search(r"[\"“„(']([\w-]+)[\"”'’)]", s)
-    # Last, First or Last, F.
-    m = re.fullmatch(r"([A-Za-zÀ-ÿ’'-]+),\s+([A-Za-zÀ-ÿ’'-]+\.?)(?:\s+[A-Za-z]\.)?", s)
-    if field == "investors" and m and fold(m.group(2)).lower().rstrip(".") not in FORMS:
-        first, last = fold(m.group(2)).lower(), fold(m.group(1)).lower()
-        if len(first.rstrip(".")) == 1:
-            return Form("P", (first[0] + ".", last))
-        given = _given_name(first)
-        if given:
-            return Form("P", (given, last))
     m = _FIRM.match(s)
-    if m and _descriptor(m.group(1).lower()):
+    if m:
         s = f"{m.group(2)} {m.group(1)}"
-    s = _CAMEL.sub(" ", s)
-    s = fold(s).lower()
+    s = fold(_CAMEL.sub(" ", s)).lower()
     s = re.sub(r"\b([a-z])\.(?=[a-z]\.)", r"\1", s)  # l.p. -> lp.
-    words = [w for w in re.split(r"[\s,/()\[\]\"“”-]+", s) if w]
-    while len(words) > 2 and words[-1].rstrip(".") in FORMS:
+    words = [w for w in re.split(r"[\s,/()\[\]\"“”„-]+", s) if w.strip(".'’&+")]
+    words = [w for w in words if w not in ("and", "und", "et", "y")] or words
+    # forms come off names of any length, at least one word stays
+    while len(words) > 1 and words[-1].rstrip(".") in FORMS:
         words.pop()
     while len(words) > 1 and words[0].rstrip(".") in TITLES:
         words.pop(0)
-    words = ["&" if w in ("&", "+", "and", "und", "et", "y") else w for w in words]
-    if not words:
-        return None
-    plain = [w for w in words if w != "&"]
-    has_and = "&" in words
-    if field == "investors" and not has_and and 2 <= len(plain) <= 4:
-        person = _person(plain, nick.group(1).lower() if nick else None)
-        if person:
-            return person
-    return _firm(plain, field)
-
-
-def _person(words: list[str], nick: str | None) -> Form | None:
-    words = [w for w in words if w != nick] if nick and len(words) > 2 else words
-    if any(_ALIAS.get(w.rstrip(".")) for w in words):
-        return None
-    if len(words) == 3 and len(words[1].rstrip(".")) == 1:
-        words = [words[0], words[2]]
-    if len(words) != 2:
-        return None
-    a, b = words
-    if len(a.rstrip(".")) == 1 and len(b) > 2:
-        return Form("P", (a[0] + ".", b))
-    given = _given_name(a)
-    if given:
-        return Form("P", (given, b))
-    other = _given_name(b)
-    if other:
-        return Form("P", (other, a))
-    return None
-
-
-def _firm(words: list[str], field: str) -> Form:
-    two = " ".join
-    # descriptor at the end, else at the front
-    for at in ("end", "front"):
-        if len(words) >= 3:
-            tail = words[-2:] if at == "end" else words[:2]
-            if _pair_descriptor(tail):
-                rest = words[:-2] if at == "end" else words[2:]
-                if len(rest) >= 2 or at == "end":
-                    return Form("F", tuple(rest), _pair_descriptor(tail))
-        if len(words) >= 2:
-            w = words[-1] if at == "end" else words[0]
-            d = _descriptor(w)
-            if d and (len(words) >= 3 or at == "end"):
-                rest = words[:-1] if at == "end" else words[1:]
-                # "systems group": a further general word
-                if len(rest) >= 3 and at == "end" and _descriptor(rest[-1]):
-                    return Form("F", tuple(rest[:-1]), _descriptor(rest[-1]))
-                return Form("F", tuple(rest), d)
-    if field == "company" and len(words) >= 3:
-        return Form("F", tuple(words[:2]), "?" + two(words[2:]), unsure=True)
-    return Form("F", tuple(words))
-
-
-def _pair_descriptor(pair: list[str]) -> str:
-    a, b = (w.rstrip(".") for w in pair)
-    if _near(a, {"venture": 1}) and _near(b, {"partners": 1}):
-        return "venture partners"
-    if _near(a, {"growth": 1}) and (b in ("fund", "fd") or one_edit(b, "fund")):
-        return "growth fund"
-    return ""
-
-
-def _typos(words: tuple[str, ...]) -> Iterator[tuple[str, ...]]:
-    """The words with one letter deleted from one of them, and as they are."""
+    if field == "investors" and nick and len(words) == 3:
+        words = [w for w in words if w != fold(nick.group(1)).lower()]
+    return " ".join(words) or None
+
+
+def _typos(words: tuple[str, ...], least: int) -> Iterator[tuple[str, ...]]:
+    """The words as they are, and with one letter deleted from one of them."""
     yield words
     for i, w in enumerate(words):
-        if len(w.rstrip(".")) < 3:
+        if len(w.rstrip(".")) < least or not w[0].isalpha():
             continue
         for k in range(len(w)):
             if k and w[k] == w[k - 1]:
@@ -241,153 +140,258 @@ def _typos(words: tuple[str, ...]) -> Iterator[tuple[str, ...]]:
             yield (*words[:i], w[:k] + w[k + 1 :], *words[i + 1 :])
 
 
-def keys_of(form: Form, field: str) -> Iterator[tuple[str, str]]:
-    """(role, key): "full" members of whole names, "typo" near whole names, "anchor" what a full name may be shortened to, "short" a shortened name."""
-    bag = lambda ws: " ".join(sorted(ws))
-    if form.kind == "P":
-        given, last = form.words
-        if given.endswith("."):
-            yield "short", f"I|{given[0]}|{last}"
-            for t in _typos((last,)):
-                yield "shorttypo", f"J|{given[0]}|{t[0]}"
-            return
-        names = _GIVEN.get(given, [given])
-        if len(names) > 1 and names[0] != given:
-            for n in names:
-                yield "short", f"N|{n}|{last}"
-                for t in _typos((last,)):
-                    yield "shorttypo", f"O|{n}|{t[0]}"
-            return
-        name = names[0]
-        yield "full", f"P|{name}|{last}"
-        yield "anchor", f"N|{name}|{last}"
-        yield "anchor", f"I|{name[0]}|{last}"
-        for t in _typos((last,)):
-            yield "typo", f"Q|{name}|{t[0]}"
-            yield "anchor", f"J|{name[0]}|{t[0]}"
-            yield "anchor", f"O|{name}|{t[0]}"
-        return
-    if form.acronym:
-        yield "short", f"A|{''.join(form.words)}"
+def _initial(word: str) -> bool:
+    return len(word.rstrip(".")) == 1
+
+
+def splits(words: tuple[str, ...], field: str, general: frozenset[str]) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """(core, rest): names are shortened by leaving out, or vary in, their last words, or first words that are general; two words stay, one where the other is a company's general last word."""
+    n = len(words)
+    if any(_initial(w) for w in words):
+        return []
+    out = [(words[:k], words[k:]) for k in range(max(2, n - 2), n)]
+    if n >= 3 and words[0] in general and words[-1] not in general:
+        out += [(words[k:], words[:k]) for k in (1, 2) if n - k >= 2 and all(w in general for w in words[:k])]
+    if n == 2 and field == "company" and words[1] in general and words[0] not in general:
+        out.append((words[:1], words[1:]))
+    return out
+
+
+def anchors(words: tuple[str, ...], field: str, general: frozenset[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """(kind, words) that a name may be shortened to."""
+    if len(words) < 2 or any(_initial(w) for w in words):
+        return []
+    out = [("C", core) for core, _ in splits(words, field, general)]
+    # a word cut to its initial; general last words are not cut
+    last = len(words)
+    while last > 2 and words[last - 1] in general:
+        last -= 1
+    if len(words) > 2 and last == len(words):
+        last -= 1
+    out += [("L", (*words[:i], words[i][0], *words[i + 1 :])) for i in range(last)]
+    if len(words) >= 3:
+        out.append(("A", ("".join(w[0] for w in words),)))
+    if field == "investors" and len(words) == 2:
+        for a, b in (words, words[::-1]):
+            given = _given_name(a) if a not in general or a in _GIVEN else None
+            if given and _GIVEN.get(given, [given])[0] == given:
+                out.append(("N", (given, b)))
+    return out
+
+
+def shortened(words: tuple[str, ...], field: str, general: frozenset[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """(kind, words) as which a name may be the shortening of another one."""
+    if any(_initial(w) for w in words):
+        if len(words) < 2:
+            return []
+        return [("L", tuple(w.rstrip(".") if _initial(w) else w for w in words))]
+    out = [("C", words)]
+    if field == "investors" and len(words) == 2:
+        for a, b in (words, words[::-1]):
+            given = _given_name(a)
+            out += [("N", (n, b)) for n in _GIVEN.get(given, ()) if n != given] if given else []
+    return out
+
+
+def _words(name: str, field: str, general: frozenset[str]) -> tuple[str, ...]:
+    words = tuple(name.split(" "))
+    # the initial of a middle name says nothing where the last word is a surname
+    if field == "investors" and len(words) == 3 and _initial(words[1]) and not _initial(words[0]) and words[2] not in general:
+        return (words[0], words[2])
+    return words
+
+
+def _hash(field: str, kind: str, words) -> int:
+    return xxhash.xxh64_intdigest(f"{field}|{kind}|{' '.join(sorted(words))}") - (1 << 63)
+
+
+FULL, TYPO, ANCHOR, SHORT, NEAR_ANCHOR, NEAR_SHORT = range(6)
+
+
+def keys_of(name: str, field: str, general: frozenset[str], cfg: VariantConfig) -> Iterator[tuple[int, int]]:
+    """(role, key) of a normal form."""
+    if name[0] == "=":
+        yield FULL, _hash(field, "=", (name,))
+        yield SHORT, _hash(field, "A", (name[1:],))
         return
-    core, d = form.words, form.descriptor
-    initial = any(len(w.rstrip(".")) == 1 for w in core)
-    if initial:
-        yield "short", f"L|{bag([w[0] if len(w.rstrip('.')) == 1 else w for w in core])}|{d}"
-        return
-    if d and not form.unsure:
-        yield "full", f"F|{bag(core)}|{d}"
-        for t in _typos(core):
-            yield "typo", f"D|{bag(t)}|{d}"
-            yield "anchor", f"E|{bag(t)}"
-        yield "anchor", f"C|{bag(core)}"
-        if len(core) >= 2:
-            for i in range(len(core)):
-                yield "anchor", f"L|{bag([*core[:i], core[i][0], *core[i + 1 :]])}|{d}"
-            yield "anchor", "A|" + "".join(w[0] for w in (*core, *d.split()))
-    else:
-        yield "short", f"C|{bag(core)}"
-        for t in _typos(core):
-            yield "shorttypo", f"E|{bag(t)}"
-
-
-def _bag_close(a: str, b: str) -> bool:
-    """Same words but for one edit in one of them (words of a key, in any order)."""
-    x, y = a.split(" "), b.split(" ")
-    for w in list(x):
-        if w in y:
-            x.remove(w)
-            y.remove(w)
-    if not x and not y:
+    words = _words(name, field, general)
+    yield FULL, _hash(field, "F", words)
+    if len(words) > 1 or len(words[0]) > cfg.typo_letters:
+        for t in _typos(words, cfg.typo_letters):
+            yield TYPO, _hash(field, "D", t)
+    for core, _ in splits(words, field, general):
+        for t in _typos(core, cfg.typo_letters):
+            yield TYPO, _hash(field, "B", t)
+    for exact, near, forms in ((ANCHOR, NEAR_ANCHOR, anchors), (SHORT, NEAR_SHORT, shortened)):
+        for kind, ws in forms(words, field, general):
+            yield exact, _hash(field, kind, ws)
+            if kind != "A":
+                for t in _typos(ws, cfg.typo_letters):
+                    yield near, _hash(field, "~" + kind, t)
+
+
+def _abbreviates(a: str, b: str) -> bool:
+    """Whether one word is an abbreviation or another form of the other."""
+    dotted = a.endswith(".") or b.endswith(".")
+    a, b = sorted((a.rstrip("."), b.rstrip(".")), key=len)
+    if a == b:
+        return True
+    if not a or a[0] != b[0]:
+        return False
+    same = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    if same == len(a) and (len(a) >= 3 or dotted):
+        return True
+    if same >= 4 or (same >= 3 and len(a) <= 4):
         return True
-    if len(x) == len(y) == 1:
-        return one_edit(x[0], y[0])
+    # letters left out: in their order, hardly a vowel among them
+    it = iter(b)
+    return len(a) >= 3 and len(a) < len(b) and all(c in it for c in a) and sum(c in _VOWELS for c in a[1:]) <= 1
+
+
+def _rest_fits(a: tuple[str, ...], b: tuple[str, ...], general: frozenset[str]) -> bool:
+    if len(a) == len(b):
+        return all(_abbreviates(x, y) or (min(len(x), len(y)) >= 4 and one_edit(x, y)) for x, y in zip(a, b, strict=True))
+    short, long = sorted((a, b), key=len)
+    return len(short) == 1 and short[0].rstrip(".") == "".join(w[0] for w in long)
+
+
+def _bag_close(x: tuple[str, ...], y: tuple[str, ...], general: frozenset[str], least: int) -> bool:
+    """Same words in any order but for one edit in one of them, which is no general word on both sides."""
+    a, b = list(x), list(y)
+    for w in x:
+        if w in b:
+            a.remove(w)
+            b.remove(w)
+    if not a and not b:
+        return True
+    if len(a) == len(b) == 1:
+        p, q = a[0], b[0]
+        return max(len(p), len(q)) >= least and p[0].isalpha() and not (p in general and q in general) and one_edit(p, q)
     # a space typed or lost
-    return one_edit("".join(sorted(x)), "".join(sorted(y))) and one_edit("".join(a.split(" ")), "".join(b.split(" ")))
+    return 0 < len(a) + len(b) <= 3 and bool(a) and bool(b) and "".join(a) == "".join(b)
 
 
-def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(field, cid, spelling) to (key, role, cid, name)."""
-    for batch in batches:
-        keys, roles, cids, names = [], [], [], []
-        for field, cid, spelling in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-            form = normal_form(spelling, field)
-            if form is None:
-                continue
-            name = " ".join((_GIVEN.get(form.words[0], form.words[:1])[0], *form.words[1:])) if form.kind == "P" else " ".join(form.words)
-            for role, key in dict.fromkeys(keys_of(form, field)):
-                keys.append(f"{field}|{key}")
-                roles.append(role)
-                cids.append(cid)
-                names.append(name)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(roles, pa.string()), pa.array(cids, pa.int64()), pa.array(names, pa.string())], names=["key", "role", "cid", "name"])
+def same_name(x: str, y: str, field: str, general: frozenset[str], cfg: VariantConfig) -> bool:
+    """Whether two normal forms are the same name but for one edit or for the form of their last words."""
+    if "=" in (x[0], y[0]):
+        return False
+    a, b = _words(x, field, general), _words(y, field, general)
+    if _bag_close(a, b, general, cfg.typo_letters):
+        return True
+    for core, rest in splits(a, field, general):
+        for other, left in splits(b, field, general):
+            if len(core) == len(other) and _bag_close(core, other, general, cfg.typo_letters) and _rest_fits(rest, left, general):
+                return True
+    return False
+
 
+def shortens(x: str, y: str, field: str, general: frozenset[str], cfg: VariantConfig) -> bool:
+    """Whether x is a shortening of y with at most one edit."""
+    a, b = _words(x, field, general), _words(y, field, general)
+    forms = anchors(b, field, general)
+    return any(kind == k and len(ws) == len(o) and _bag_close(ws, o, general, cfg.typo_letters) for kind, ws in shortened(a, field, general) for k, o in forms)
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = [x is not None and y is not None and _bag_close(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        yield batch.filter(pa.array(keep)).select(["a", "b"])
-
-
-def round_edges(members: DataFrame) -> DataFrame:
-    """(a, b) cluster ids that one round of matching links; members is (field, cid, spelling)."""
-    rows = members.select("field", "cid", "spelling").mapInArrow(_emit_keys, "key string, role string, cid bigint, name string").distinct()
-    full = F.col("role").isin("full", "typo", "anchor")
-    blocks = rows.groupBy("key").agg(
-        F.min(F.when(full, F.struct("cid", "name"))).alias("first"),
-        F.max(F.when(full, F.col("cid"))).alias("last"),
-        F.min("cid").alias("low"),
-        F.max("cid").alias("high"),
-    ).filter("low <> high")
-    joined = rows.join(blocks, "key")
-    strong = joined.filter("role = 'full' and first is not null").select(F.col("cid").alias("a"), F.col("first.cid").alias("b"))
-    # one edit is not transitive: every two names of a deletion block are compared, one row a name (equal names are linked by their whole name);
-    # so are shortened names where no full cluster holds the key
-    typos = joined.filter("role = 'typo' or (role = 'shorttypo' and first is null)").groupBy("key", "name").agg(F.min("cid").alias("cid"))
-    several = typos.groupBy("key").agg(F.min("name").alias("n0"), F.max("name").alias("n1"), F.min("cid").alias("c0"), F.max("cid").alias("c1")).filter("n0 <> n1 and c0 <> c1").select("key")
-    typos = typos.join(several, "key", "left_semi")
-    other = typos.select("key", F.col("name").alias("y"), F.col("cid").alias("b"))
-    typo = typos.join(other, "key").filter("name < y and cid <> b").select(F.col("cid").alias("a"), "b", F.col("name").alias("x"), "y").distinct()
-    # a shortened name links where exactly one full cluster has the key
-    short = joined.filter("role = 'short' and first is not null and first.cid = last").select(F.col("cid").alias("a"), F.col("first.cid").alias("b"))
-    # shortened names of one spelling but no full cluster link among themselves
-    alone = joined.filter("role = 'short' and first is null and key not like '%|A|%'").select(F.col("cid").alias("a"), F.col("low").alias("b"))
-    near = joined.filter("role = 'shorttypo' and first is not null and first.cid = last").select(F.col("cid").alias("a"), F.col("first.cid").alias("b"))
-    checked = typo.mapInArrow(_close, "a bigint, b bigint")
-    return strong.unionByName(checked).unionByName(short).unionByName(alone).unionByName(near).filter("a <> b").distinct()
-
-
-def min_labels(edges: DataFrame, max_rounds: int) -> DataFrame:
-    """(node, label): the smallest node of each component, by propagation with checkpoints."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node").checkpoint()
-    for _ in range(max_rounds):
-        seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("other"))
-        new = labels.join(seen, labels["node"] == seen["a"]).select("node", "label", F.least("label", "other").alias("low"))
-        # jump: take the label's own label
-        roots = new.select(F.col("node").alias("root"), F.col("low").alias("root_low"))
-        new = new.join(roots, new["low"] == roots["root"], "left").select("node", "label", F.least("low", F.coalesce("root_low", "low")).alias("low")).checkpoint()
-        changed = new.filter("low <> label").limit(1).count()
-        labels = new.select("node", F.col("low").alias("label"))
-        if not changed:
-            break
-    return labels
+        names = [normal_form(s, f) for f, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(names, pa.string())], names=["field", "spelling", "cid", "name"])
+
+
+def general_words(names: DataFrame, cfg: VariantConfig) -> dict[str, frozenset[str]]:
+    """Words that many of a field's distinct names share. A share bounds their number: at 1 % and three words a name there are at most 300 a field."""
+    total = {r["field"]: r["n"] for r in names.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for field, n in total.items():
+        words = names.filter(F.col("field") == field).select(F.explode(F.array_distinct(F.split("name", " "))).alias("word"))
+        often = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= max(cfg.general_least, cfg.general_share * n))
+        out[field] = frozenset(r["word"] for r in often.collect())
+    return out
+
+
+def static_links(names: DataFrame, cfg: VariantConfig, general: dict[str, frozenset[str]]) -> tuple[DataFrame, DataFrame]:
+    """(edges, fits) of distinct names (field, name, nid): a, b of the same name; s, a, level of what s may be short for (0 exact, 1 within one edit)."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, roles, ids = [], [], []
+            for field, name, nid in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                for role, key in dict.fromkeys(keys_of(name, field, general[field], cfg)):
+                    keys.append(key)
+                    roles.append(role)
+                    ids.append(nid)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(roles, pa.int8()), pa.array(ids, pa.int64())], names=["key", "role", "nid"])
+
+    keys = names.select("field", "name", "nid").mapInArrow(emit, "key bigint, role tinyint, nid bigint")
+    # most deletions meet no other name
+    several = keys.groupBy("key").agg(F.min("nid").alias("n0"), F.max("nid").alias("n1")).filter("n0 <> n1").select("key", F.col("n0").alias("first"))
+    keys = keys.join(several, "key").checkpoint()
+    equal = keys.filter(F.col("role") == FULL).groupBy("key").agg(F.min("nid").alias("first"), F.collect_set("nid").alias("all"))
+    equal = keys.filter(F.col("role") == FULL).select("key", "nid").join(equal.select("key", "first"), "key").filter("nid <> first").select(F.col("nid").alias("a"), F.col("first").alias("b"))
+
+    def pairs(left: int, right: int, condition: str) -> DataFrame:
+        x = keys.filter(F.col("role") == left).select("key", F.col("nid").alias("a"))
+        y = keys.filter(F.col("role") == right).select("key", F.col("nid").alias("b"))
+        return x.join(y, "key").filter(condition).select("a", "b").distinct()
+
+    def checked(candidates: DataFrame, test) -> DataFrame:
+        x = names.select(F.col("nid").alias("a"), "field", F.col("name").alias("x"))
+        y = names.select(F.col("nid").alias("b"), F.col("name").alias("y"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                _, _, fields, xs, ys = (batch.column(i).to_pylist() for i in range(5))
+                yield batch.filter(pa.array([test(p, q, f, general[f], cfg) for f, p, q in zip(fields, xs, ys, strict=True)], pa.bool_())).select(["a", "b"])
+
+        return candidates.join(x, "a").join(y, "b").select("a", "b", "field", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+    typo = checked(pairs(TYPO, TYPO, "a < b"), same_name)
+    exact = pairs(SHORT, ANCHOR, "a <> b").withColumn("level", F.lit(0))
+    near = checked(pairs(NEAR_SHORT, NEAR_ANCHOR, "a <> b"), shortens).withColumn("level", F.lit(1))
+    fits = exact.unionByName(near).groupBy("a", "b").agg(F.min("level").alias("level"))
+    return equal.unionByName(typo).distinct(), fits.select(F.col("a").alias("s"), F.col("b").alias("a"), "level")
+
+
+def _distinct_names(spellings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(spellings with their normal form, distinct normal forms with their nid)"""
+    ensure_checkpoint_dir(spellings.sparkSession)
+    forms = spellings.select("field", "spelling", "cid").mapInArrow(_normal, "field string, spelling string, cid bigint, name string")
+    forms = forms.withColumn("nid", F.when(F.col("name").isNotNull(), F.xxhash64("field", "name"))).checkpoint()
+    return forms, forms.filter("name is not null").select("field", "name", "nid").distinct().checkpoint()
+
+
+def round_edges(members: DataFrame, cfg: VariantConfig | None = None) -> DataFrame:
+    """(a, b) clusters that the names of ``members`` (field, cid, spelling) link by themselves."""
+    cfg = cfg or VariantConfig()
+    forms, names = _distinct_names(members)
+    edges, _ = static_links(names, cfg, general_words(names, cfg))
+    of = forms.filter("nid is not null").select("nid", "cid").distinct()
+    a = edges.join(of.select(F.col("nid").alias("a"), F.col("cid").alias("ca")), "a")
+    both = a.join(of.select(F.col("nid").alias("b"), F.col("cid").alias("cb")), "b")
+    return both.filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
 
 
 def resolve(spellings: DataFrame, cfg: VariantConfig | None = None) -> DataFrame:
     """field, spelling, cid: the entity of each distinct spelling of ``spellings`` (field, spelling)."""
     cfg = cfg or VariantConfig()
-    ensure_checkpoint_dir(spellings.sparkSession)
-    members = spellings.filter("spelling is not null").select("field", "spelling").distinct().withColumn("cid", F.xxhash64("field", "spelling")).checkpoint()
+    distinct = spellings.filter("spelling is not null").select("field", "spelling").distinct().withColumn("cid", F.xxhash64("field", "spelling"))
+    forms, names = _distinct_names(distinct)
+    edges, fits = static_links(names, cfg, general_words(names, cfg))
+    edges, fits = edges.checkpoint(), fits.checkpoint()
+    labels = names.select("nid", F.col("nid").alias("label"))
     for done in range(cfg.max_rounds + 1):
-        edges = round_edges(members).checkpoint()
-        if not edges.limit(1).count():
+        if edges.limit(1).count():
+            if done == cfg.max_rounds:
+                raise RuntimeError(f"names still merge after {cfg.max_rounds} rounds")
+            merged = connected_components(edges)
+            labels = labels.join(merged, labels["label"] == merged["node"], "left").select("nid", F.coalesce("component", "label").alias("label")).checkpoint()
+        elif done:
             break
-        if done == cfg.max_rounds:
-            raise RuntimeError(f"names still merge after {cfg.max_rounds} rounds")
-        labels = min_labels(edges, cfg.max_label_rounds)
-        members = members.join(labels, members["cid"] == labels["node"], "left").select("field", "spelling", F.coalesce("label", "cid").alias("cid")).checkpoint()
-    return members
+        # a shortened name joins the one cluster that holds all names it may stand for
+        own = fits.join(labels.select(F.col("nid").alias("s"), F.col("label").alias("of_s")), "s").join(labels.select(F.col("nid").alias("a"), F.col("label").alias("of_a")), "a")
+        best = own.groupBy("s", "of_s", "level").agg(F.min("of_a").alias("low"), F.max("of_a").alias("high")).groupBy("s", "of_s").agg(F.min(F.struct("level", "low", "high")).alias("m"))
+        edges = best.filter("m.low = m.high and m.low <> of_s").select(F.col("of_s").alias("a"), F.col("m.low").alias("b")).distinct().checkpoint()
+    return forms.join(labels, "nid", "left").select("field", "spelling", F.coalesce("label", "cid").alias("cid"))
 
 
 def name_spellings(funding_events: DataFrame) -> DataFrame:
@@ -406,4 +410,4 @@ def variant_pairs(funding_events: DataFrame, cfg: VariantConfig | None = None) -
     return a.join(b, ["field", "cid"]).filter("name_a < name_b").select(F.col("field").alias("field_name"), "name_a", "name_b")
 
 
-__all__ = ["Form", "VariantConfig", "fold", "name_spellings", "normal_form", "one_edit", "resolve", "variant_pairs"]
+__all__ = ["VariantConfig", "fold", "name_spellings", "normal_form", "one_edit", "resolve", "variant_pairs"]

@@ -127,6 +127,27 @@ def test_short_names_link_among_each_other(spark):
         variants.resolve(df, variants.VariantConfig(max_rounds=0))
 
 
+def test_names_of_unlisted_words_link(spark):
+    company = [("Acme Foods", "Acme Fods"), ("Stripe", "Stripe Inc"), ("Stripe", "Stirpe"), ("Sequoia", "Sequioa"), ("Norwegian Rail", "Norwegian Rial")]
+    investors = [("Priya Natarajan", "Priya Natarjan"), ("Bharat Sinha", "B. Sinha")]
+    rows = [("company", x) for p in company for x in p] + [("investors", x) for p in investors for x in p]
+    apart = [("investors", "Meera Natarajan"), ("company", "Norwegian Wool"), ("company", "Kim"), ("company", "Kin"), ("company", "Fund 1"), ("company", "Fund 2")]
+    of = {(r.field, r.spelling): r.cid for r in variants.resolve(spark.createDataFrame(rows + apart, "field string, spelling string")).collect()}
+    for field, ps in (("company", company), ("investors", investors)):
+        for x, y in ps:
+            assert of[field, x] == of[field, y], (x, y)
+    single = [of[k] for k in apart]
+    assert len(set(single)) == len(apart) and not set(single) & {of[k] for k in rows}
+
+
+def test_general_words_are_no_misspellings(spark):
+    # "Marina" and "Martina" open many names each: one letter apart, yet two words; "Marita" is rare, so it is a misspelling
+    words = "Boldo Carvo Dintel Ferrum Galdor Hexim Jorlan Kestrel Lumbra Morvan".split()
+    rows = [("company", f"{a} {w}") for a in ("Marina", "Martina") for w in words] + [("company", "Martia Boldo")]
+    of = {r.spelling: r.cid for r in variants.resolve(spark.createDataFrame(rows, "field string, spelling string")).collect()}
+    assert all(of[f"Marina {w}"] != of[f"Martina {w}"] for w in words[1:])
+
+
 def test_one_edit_is_damerau():
     rng = random.Random(5)
 
