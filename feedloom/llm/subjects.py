@@ -10,7 +10,8 @@ subjects of at least ``min_share`` of its sentences.
 Features are words, word pairs and, for Chinese, character pairs, hashed to a fixed number of buckets for each language (told
 by function words), so the model has one size whatever the corpus; class totals are kept by language, so wording common to all
 texts of a language speaks for no subject. Runs of capitalised words (names of firms, people and places) give no features.
-Within a document the subjects' shares are the prior of its sentences.
+Within a document the subjects' shares are the prior of its sentences. The texts are split and hashed once, into bucket numbers that are checkpointed;
+the passes of expectation and the scoring read those, and end when the assigned counts move by less than ``settled`` or, at the latest, after the stated rounds.
 
 Defined results: null, empty and blank texts have no subject; labels of unknown documents and null labels are ignored; documents labelled twice
 have the union of their labels; a sentence without letters is none. Labelled documents beyond ``max_labelled`` (chosen by hash) are
@@ -29,14 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import ensure_checkpoint_dir
+
 
 @dataclass(frozen=True)
 class SubjectConfig:
+    """max_labelled: most labelled documents that the first model is fitted on, chosen by hash; local_rounds, corpus_rounds: most rounds over these and over all others;
+    settled: share of the counts whose move ends the rounds."""
+
     buckets: int = 1 << 15
     alpha: float = 0.05
     max_labelled: int = 20_000
     local_rounds: int = 5
     corpus_rounds: int = 2
+    settled: float = 0.002
     min_share: float = 0.25
     min_posterior: float = 0.5
     min_count: float = 1.5
@@ -78,7 +85,7 @@ def language(sentence: str, default: int = 0) -> int:
 
 
 def sentences(text: str | None) -> list[str]:
-    """The sentences of a text that hold at least two words or three Chinese characters."""
+    """The sentences of a text that hold at least three words or four Chinese characters."""
     if not text:
         return []
     out = []
@@ -231,17 +238,59 @@ def _calibrate(lo: np.ndarray, target: np.ndarray, rounds: int = 200) -> tuple[n
     return a / 10, offset
 
 
-def fit(documents: DataFrame, labels: DataFrame, subjects: list[str], cfg: SubjectConfig | None = None) -> Fitted:
-    """Fit on the labelled documents, then on all others."""
+_NUMBERS = "ids binary, buckets binary, langs binary, starts binary, counts binary"
+
+
+def read_sentences(documents: DataFrame, cfg: SubjectConfig) -> DataFrame:
+    """The documents' sentences as bucket numbers, one row for up to 256 documents; written once, read by every pass."""
+    ensure_checkpoint_dir(documents.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Buckets(cfg.buckets)
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at in range(0, len(texts), 256):
+                flat, starts, counts = _vectors(texts[at : at + 256], memo)
+                blobs = (np.array(ids[at : at + 256], np.int64), (flat % cfg.buckets).astype(np.uint16), (flat[starts] // cfg.buckets).astype(np.uint8), starts.astype(np.int32), counts.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([b.tobytes()], pa.binary()) for b in blobs], names=["ids", "buckets", "langs", "starts", "counts"])
+
+    if cfg.buckets > 1 << 16:
+        raise ValueError("at most 65,536 buckets a language")
+    rows = documents.filter("text is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return rows.mapInArrow(run, _NUMBERS).checkpoint()
+
+
+def _numbers(batches: Iterator[pa.RecordBatch], cfg: SubjectConfig) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, bucket of each feature, first feature of each sentence, sentences of each text)"""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids, low, langs, starts, counts = (np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in enumerate((np.int64, np.uint16, np.uint8, np.int32, np.int32)))
+            each = np.repeat(langs.astype(np.int64), np.diff(np.append(starts, len(low))))
+            yield ids, low + each * cfg.buckets, starts.astype(np.int64), counts.astype(np.int64)
+
+
+def _without(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same without the texts that are not to be kept."""
+    if keep.all():
+        return flat, starts, counts
+    lengths = np.diff(np.append(starts, len(flat)))
+    of_text = np.repeat(keep, counts)
+    flat, lengths = flat[np.repeat(of_text, lengths)], lengths[of_text]
+    return flat, np.cumsum(lengths) - lengths, counts[keep]
+
+
+def fit(documents: DataFrame, labels: DataFrame, subjects: list[str], cfg: SubjectConfig | None = None, read: DataFrame | None = None) -> Fitted:
+    """Fit on the labelled documents, then on all others; ``read`` holds the documents' sentences if they were read already."""
     cfg = cfg or SubjectConfig()
+    read = read_sentences(documents, cfg) if read is None else read
     index = {s: i for i, s in enumerate(subjects)}
     k = len(subjects) + 1
     docs = documents.filter("text is not null and doc_id is not null").select("doc_id", "text")
     by_doc = labels.filter(F.col("subject").isin(subjects)).groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("labels"))
     # every labelled document up to the bound, else a share of them by hash of their id
     n_labelled = by_doc.count()
-    share = 1_000_000 if n_labelled <= cfg.max_labelled else int(0.95 * cfg.max_labelled / n_labelled * 1_000_000)
-    by_doc = by_doc.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    if n_labelled > cfg.max_labelled:
+        by_doc = by_doc.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) / F.lit(float(1 << 52)) < F.lit(0.95 * cfg.max_labelled / n_labelled))
     known = sorted(docs.join(by_doc, "doc_id").collect(), key=lambda r: r["doc_id"])
     size = cfg.buckets * len(LANGUAGES)
     memo = Buckets(cfg.buckets)
@@ -263,43 +312,45 @@ def fit(documents: DataFrame, labels: DataFrame, subjects: list[str], cfg: Subje
         common = np.exp(np.where(mass > 0, np.log(share + 1e-5), 0).sum(2) / np.maximum((mass > 0).sum(2), 1))
         fixed[:, -1] = (common * by_lang.sum((1, 2))[:, None] * 0.1).reshape(-1)
     model = Model(fixed, post.sum(0), cfg)
-    for _ in range(cfg.local_rounds):
-        if not len(starts):
-            break
+    for _ in range(cfg.local_rounds if len(starts) else 0):
         post = _softmax(_with_document(model.log_odds(flat, starts), counts, cfg.document_weight, allowed), allowed)
-        fixed = _recount(flat, starts, post, size)
+        before, fixed = fixed, _recount(flat, starts, post, size)
         model = Model(fixed, post.sum(0), cfg)
+        if np.abs(fixed - before).sum() < cfg.settled * fixed.sum():
+            break
     base, base_prior = model.counts, post.sum(0) if len(post) else np.zeros(k)
 
     spark = documents.sparkSession
-    rest = docs.join(by_doc.select("doc_id"), "doc_id", "left_anti")
+    fitted_on = {r["doc_id"] for r in known}
+    assigned = np.zeros((size + 1, k))
     for _ in range(cfg.corpus_rounds):
-        shared = spark.sparkContext.broadcast((model.weights, model.bias))
+        shared = spark.sparkContext.broadcast((model.weights, model.bias, fitted_on))
 
-        def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen = Buckets(cfg.buckets)
+        def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             current = Model.__new__(Model)
-            current.weights, current.bias = shared.value
-            total = np.zeros((size + 1, k), np.float32)
-            for batch in batches:
-                texts = batch.column(0).to_pylist()
-                for at in range(0, len(texts), 256):
-                    f, s, n = _vectors(texts[at : at + 256], seen)
-                    if len(s):
-                        p = _softmax(_with_document(current.log_odds(f, s), n, cfg.document_weight))
-                        total[:-1] += _recount(f, s, p, size)
-                        total[-1] += p.sum(0)
+            current.weights, current.bias, skip = shared.value
+            total = np.zeros((size + 1, k))
+            for ids, f, s, n in _numbers(batches, cfg):
+                if skip:
+                    f, s, n = _without(f, s, n, np.array([i not in skip for i in ids.tolist()], bool))
+                if len(s):
+                    p = _softmax(_with_document(current.log_odds(f, s), n, cfg.document_weight))
+                    total[:-1] += _recount(f, s, p, size)
+                    total[-1] += p.sum(0)
             used = np.flatnonzero(total.sum(1) > 0)
             for at in range(0, len(used), 8192):
                 rows = used[at : at + 8192]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *[pa.array(total[rows, c].astype(np.float64)) for c in range(k)]], names=["b", *[f"c{c}" for c in range(k)]])
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *[pa.array(total[rows, c]) for c in range(k)]], names=["b", *[f"c{c}" for c in range(k)]])
 
-        parts = rest.select("text").mapInArrow(expect, "b int, " + ", ".join(f"c{c} double" for c in range(k)))
+        parts = read.mapInArrow(expect, "b int, " + ", ".join(f"c{c} double" for c in range(k)))
         got = parts.groupBy("b").agg(*[F.sum(f"c{c}").alias(f"c{c}") for c in range(k)]).toPandas()
         counts_all = np.zeros((size + 1, k))
         counts_all[got["b"].to_numpy(int)] = got[[f"c{c}" for c in range(k)]].to_numpy(float)
         shared.unpersist()
         model = Model(base + cfg.unlabelled_weight * counts_all[:-1], base_prior + cfg.unlabelled_weight * counts_all[-1], cfg)
+        before, assigned = assigned, counts_all
+        if np.abs(assigned - before).sum() <= cfg.settled * assigned.sum():
+            break
     if len(starts):
         lo = _with_document(model.log_odds(flat, starts), counts, cfg.document_weight)
         post = _softmax(lo, allowed)
@@ -309,40 +360,34 @@ def fit(documents: DataFrame, labels: DataFrame, subjects: list[str], cfg: Subje
     return Fitted(subjects, model, slope, offset)
 
 
-def shares(documents: DataFrame, fitted: Fitted, cfg: SubjectConfig | None = None) -> DataFrame:
-    """doc_id, subject, share: the part of a document's sentences that is about each subject, where not 0."""
+def shares(read: DataFrame, fitted: Fitted, cfg: SubjectConfig | None = None) -> DataFrame:
+    """doc_id, subject, share: the part of a document's sentences that is about each subject, where not 0; ``read`` comes from ``read_sentences``."""
     cfg = cfg or SubjectConfig()
-    shared = documents.sparkSession.sparkContext.broadcast((fitted.subjects, fitted.model.weights, fitted.model.bias, fitted.slope, fitted.offset))
+    shared = read.sparkSession.sparkContext.broadcast((fitted.subjects, fitted.model.weights, fitted.model.bias, fitted.slope, fitted.offset))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subjects, weights, bias, slope, offset = shared.value
         m = Model.__new__(Model)
         m.weights, m.bias = weights, bias
         own = Fitted(subjects, m, slope, offset)
-        memo = Buckets(cfg.buckets)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            d, s, v = [], [], []
-            for at in range(0, len(texts), 256):
-                flat, starts, counts = _vectors(texts[at : at + 256], memo)
-                about = own.posteriors(flat, starts, counts, cfg.document_weight) >= cfg.min_posterior
-                ends = np.concatenate(([0], np.cumsum(counts)))
-                for i in np.flatnonzero(counts):
-                    part = about[ends[i] : ends[i + 1]].sum(0) / counts[i]
-                    for c in np.flatnonzero(part):
-                        d.append(ids[at + i])
-                        s.append(subjects[c])
-                        v.append(float(part[c]))
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.string()), pa.array(v, pa.float64())], names=["doc_id", "subject", "share"])
+        for ids, flat, starts, counts in _numbers(batches, cfg):
+            if not len(starts):
+                continue
+            about = own.posteriors(flat, starts, counts, cfg.document_weight) >= cfg.min_posterior
+            full = np.flatnonzero(counts)
+            part = np.add.reduceat(about.astype(float), (np.cumsum(counts) - counts)[full], axis=0) / counts[full][:, None]
+            d, c = np.nonzero(part)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[full[d]]), pa.array([subjects[x] for x in c.tolist()], pa.string()), pa.array(part[d, c])], names=["doc_id", "subject", "share"])
 
-    return documents.filter("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, subject string, share double")
+    return read.mapInArrow(run, "doc_id bigint, subject string, share double")
 
 
 def document_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, cfg: SubjectConfig | None = None) -> DataFrame:
     """doc_id, subject, share of every subject with at least ``min_share`` of a document's sentences."""
     cfg = cfg or SubjectConfig()
     subjects = sorted(r[0] for r in areas.filter("subject is not null").select("subject").distinct().collect())
-    return shares(documents, fit(documents, labels, subjects, cfg), cfg).filter(F.col("share") >= cfg.min_share)
+    read = read_sentences(documents, cfg)
+    return shares(read, fit(documents, labels, subjects, cfg, read), cfg).filter(F.col("share") >= cfg.min_share)
 
 
 def composition(found: DataFrame) -> DataFrame:
