@@ -4,8 +4,8 @@ The normalised word n-grams of the test items form a hash set that is broadcast;
 training text is scanned against it with a rolling hash over word hashes, one numpy pass per Arrow batch, and each
 hash hit is verified word by word. Found spans, or whole documents, can then be removed.
 
-The broadcast is bounded: above ``max_broadcast_grams`` n-grams the windows are joined by hash instead (a shuffle
-join, verified on the words), with the same rows as result.
+The broadcast is bounded: above ``max_broadcast_grams`` n-grams the 8-byte hashes of the windows are joined with those of the test items
+instead; only windows with a hit are shuffled with their words, and verified on them. Both ways give the same rows, for finding and for removal.
 
 Defined results: null, empty and blank texts and items of fewer than ``n`` words match nothing; words are runs of
 letters and digits in lower case; repeated documents and repeated items each give their own rows; one row per pair.
@@ -54,24 +54,62 @@ def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _gram_rows(n: int):
-    """(id, text) to (id, hash, words) of every window."""
+def _hash_rows(n: int):
+    """(id, text) to (id, copy, place, h): the hash of every window; copy tells rows of one id apart by their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            ids, hs, grams = [], [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                w = words(t)
-                for k, h in enumerate(window_hashes(np.fromiter((memo[x] for x in w), np.uint64, len(w)), n).astype(np.int64).tolist()):
-                    ids.append(i)
-                    hs.append(h)
-                    grams.append(" ".join(w[k : k + n]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(grams, pa.string())], names=["id", "h", "gram"])
+            ids, copies, places, hs = [], [], [], []
+            for i, c, t in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+                w = spans_of(t)[1]
+                h = window_hashes(np.fromiter((memo[x] for x in w), np.uint64, len(w)), n).astype(np.int64)
+                ids.append(np.full(len(h), i))
+                copies.append(np.full(len(h), c))
+                places.append(np.arange(len(h), dtype=np.int32))
+                hs.append(h)
+            flat = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
+            yield pa.RecordBatch.from_arrays([flat(ids, pa.int64()), flat(copies, pa.int64()), flat(places, pa.int32()), flat(hs, pa.int64())], names=["id", "copy", "place", "h"])
 
     return run
 
 
+def _words_at(n: int):
+    """(id, copy, text, hits: list of (place, h)) to (id, copy, place, h, gram)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, c, t, hits in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
+                w = spans_of(t)[1]
+                rows.extend((i, c, x["place"], x["h"], " ".join(w[x["place"] : x["place"] + n])) for x in hits)
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()), strict=True)], names=["id", "copy", "place", "h", "gram"])
+
+    return run
+
+
+def spans_of(text: str | None) -> tuple[list[tuple[int, int]], list[str]]:
+    """Places and normalised words of a text; a word is lowered by itself, so places are those of the raw text."""
+    spans = [m.span() for m in WORD.finditer(text)] if text else []
+    return spans, [text[a:b].lower() for a, b in spans]
+
+
+def _verified(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """doc_id, copy, place, item_id of the windows that documents share with test items, without a broadcast."""
+    keyed = docs.withColumn("copy", F.xxhash64("text")).select(F.col("doc_id").alias("id"), "copy", "text").distinct()
+    tests = items.withColumn("copy", F.lit(0).cast("bigint")).select(F.col("item_id").alias("id"), "copy", "text")
+    schema = "id bigint, copy bigint, place int, h bigint"
+    of_tests = tests.mapInArrow(_hash_rows(n), schema)
+    windows = keyed.mapInArrow(_hash_rows(n), schema).join(of_tests.select("h").distinct(), "h", "left_semi")
+    hits = windows.groupBy("id", "copy").agg(F.collect_list(F.struct("place", "h")).alias("hits"))
+    words_of = "id bigint, copy bigint, place int, h bigint, gram string"
+    found = keyed.join(hits, ["id", "copy"]).select("id", "copy", "text", "hits").mapInArrow(_words_at(n), words_of)
+    wanted = tests.join(of_tests.groupBy("id").agg(F.collect_list(F.struct("place", "h")).alias("hits")), "id").select("id", "copy", "text", "hits").mapInArrow(_words_at(n), words_of)
+    wanted = wanted.select("h", "gram", F.col("id").alias("item_id")).distinct()
+    return found.join(wanted, ["h", "gram"]).select(F.col("id").alias("doc_id"), "copy", "place", "item_id")
+
+
 class TestGrams:
     """Hash set of the n-grams of the test items with their words for verification."""
 
@@ -120,9 +158,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, n: int = 12, max_broadcas
     docs = documents.filter("text is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = _within_bound(items, max_broadcast_grams)
     if known is None:
-        windows = docs.mapInArrow(_gram_rows(n), "id bigint, h bigint, gram string").withColumnRenamed("id", "doc_id")
-        tests = items.mapInArrow(_gram_rows(n), "id bigint, h bigint, gram string").withColumnRenamed("id", "item_id")
-        return windows.join(tests, ["h", "gram"]).select("doc_id", "item_id").distinct()
+        return _verified(docs, items, n).select("doc_id", "item_id").distinct()
     shared = documents.sparkSession.sparkContext.broadcast(known)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,36 +183,52 @@ def remove_leaks(documents: DataFrame, items: DataFrame, n: int = 12, mode: str
         raise ValueError("mode is span or document")
     if mode == "document":
         return documents.join(find_leaks(documents, items, n, max_broadcast_grams).select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "text", F.lit(0).alias("removed"))
-    known = _within_bound(items.filter("text is not null"), max_broadcast_grams)
+    items = items.filter("text is not null and item_id is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    known = _within_bound(items, max_broadcast_grams)
+    schema = "doc_id bigint, text string, removed int"
     if known is None:
-        raise ValueError("span removal needs the test n-grams within max_broadcast_grams")
+        found = _verified(docs.filter("text is not null and doc_id is not null"), items, n)
+        hits = found.groupBy(F.col("doc_id").alias("id"), "copy").agg(F.collect_set("place").alias("places"))
+        rows = docs.withColumn("copy", F.xxhash64("text"))
+        rows = rows.join(hits, (rows["doc_id"] == hits["id"]) & (rows["copy"] == hits["copy"]), "left").select("doc_id", "text", "places")
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                got = [without_spans(t, spans_of(t)[0], {k for p in places for k in range(p, p + n)}) if places else (t, 0) for t, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in got], pa.string()), pa.array([k for _, k in got], pa.int32())], names=["doc_id", "text", "removed"])
+
+        return rows.mapInArrow(cut, schema)
     shared = documents.sparkSession.sparkContext.broadcast(known)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = TestGrams(shared.value, n)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            # words of lowered text keep their places unless lowering changes lengths; then places come from the raw text
-            spans = [[m.span() for m in WORD.finditer(t)] if t else [] for t in texts]
-            tokens = [[t[a:b].lower() for a, b in s] for t, s in zip(texts, spans, strict=True)]
+            split = [spans_of(t) for t in texts]
             marked: dict[int, set[int]] = {}
-            for o, k, _ in tests.hits(tokens):
+            for o, k, _ in tests.hits([w for _, w in split]):
                 marked.setdefault(o, set()).update(range(k, k + n))
             removed = [0] * len(texts)
             for o, places in marked.items():
-                kept, last = [], 0
-                run = sorted(places)
-                first = prev = run[0]
-                for k in [*run[1:], None]:
-                    if k is not None and k == prev + 1:
-                        prev = k
-                        continue
-                    kept.append(texts[o][last : spans[o][first][0]])
-                    last = spans[o][prev][1]
-                    if k is not None:
-                        first = prev = k
-                kept.append(texts[o][last:])
-                texts[o], removed[o] = "".join(kept), len(places)
+                texts[o], removed[o] = without_spans(texts[o], split[o][0], places)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.int32())], names=["doc_id", "text", "removed"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(clean, "doc_id bigint, text string, removed int")
+    return docs.mapInArrow(clean, schema)
+
+
+def without_spans(text: str, spans: list[tuple[int, int]], places: set[int]) -> tuple[str, int]:
+    """The text without the words at ``places`` and what stands between neighbouring ones, and their number."""
+    kept, last = [], 0
+    run = sorted(places)
+    first = prev = run[0]
+    for k in [*run[1:], None]:
+        if k is not None and k == prev + 1:
+            prev = k
+            continue
+        kept.append(text[last : spans[first][0]])
+        last = spans[prev][1]
+        if k is not None:
+            first = prev = k
+    kept.append(text[last:])
+    return "".join(kept), len(places)

@@ -315,6 +315,8 @@ def test_leaks(spark):
     cleaned = leakage.remove_leaks(d, e, 4)
     assert leakage.find_leaks(cleaned.filter("removed > 0").select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("text")).limit(0), e, 4).count() == 0
     assert {r.doc_id for r in cleaned.filter("removed > 0").collect()} == {a for a, _ in want}
+    beyond = leakage.remove_leaks(d, e, 4, max_broadcast_grams=0)
+    assert sorted(map(str, beyond.collect())) == sorted(map(str, cleaned.collect()))
     assert leakage.remove_leaks(d, e, 4, mode="document").select("doc_id").distinct().count() == len({a for a, _ in docs} - {a for a, _ in want})
     assert leakage.find_leaks(d.limit(0), e, 4).count() == 0 and leakage.find_leaks(d, e.limit(0), 4).count() == 0
 
