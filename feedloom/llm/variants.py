@@ -322,7 +322,9 @@ def static_links(names: DataFrame, cfg: VariantConfig, general: dict[str, frozen
                     ids.append(nid)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(roles, pa.int8()), pa.array(ids, pa.int64())], names=["key", "role", "nid"])
 
-    keys = names.select("field", "name", "nid").mapInArrow(emit, "key bigint, role tinyint, nid bigint")
+    # distinct names are few bytes, so adaptive execution would put them all into one task; one exchange by key serves the count and the join
+    spread = names.select("field", "name", "nid").repartition(3 * names.sparkSession.sparkContext.defaultParallelism, "nid")
+    keys = spread.mapInArrow(emit, "key bigint, role tinyint, nid bigint").repartition("key")
     # most deletions meet no other name
     several = keys.groupBy("key").agg(F.min("nid").alias("n0"), F.max("nid").alias("n1")).filter("n0 <> n1").select("key", F.col("n0").alias("first"))
     keys = keys.join(several, "key").checkpoint()
