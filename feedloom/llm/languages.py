@@ -197,8 +197,10 @@ def build_dictionaries(labelled: DataFrame, cfg: LanguageConfig | None = None) -
     cfg = cfg or LanguageConfig()
     named = labelled.select("text", label_language(F.col("label")).alias("l")).filter("l is not null")
     total = max(1, named.select("l").count())
-    share = int(min(1.0, cfg.sample_rows / total) * 1_000_000)
-    sample = named.filter("text is not null").filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share).limit(4 * cfg.sample_rows).collect()
+    share = min(1.0, cfg.sample_rows / total)
+    picked = named.filter("text is not null").withColumn("_h", F.pmod(F.xxhash64("text"), F.lit(1 << 52)))
+    # by hash and, where one text fills the share, the smallest hashes: the same rows whatever the order of tasks
+    sample = picked.filter(F.col("_h") / F.lit(float(1 << 52)) < F.lit(share)).orderBy("_h", "l").limit(4 * cfg.sample_rows).select("text", "l").collect()
     sample.sort(key=lambda r: (zlib.crc32(r["text"].encode()), r["text"]))
     lines = [(r["l"], ln.strip()) for r in sample for ln in r["text"].split("\n") if len(ln.strip()) >= 12]
     # how often each piece of text stands under each label: wrong labels are the minority of a language's wording
