@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for ``DataFrame.checkpoint``.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; only where that is unset
-    (tests, single machine) a local one is made.
+    The cluster names a shared folder in ``spark.checkpoint.dir``. Where that is unset a folder of this machine is made,
+    which only a session whose tasks all run on this machine can use; any other session must name one.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -41,19 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.fullmatch(r"local(?:\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="feedloom-checkpoint-")
     sc.setCheckpointDir(shared)
     return shared
-
-
-def table_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan in bytes (file sizes for a scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def broadcast_within(df: DataFrame, limit_bytes: int = 64 << 20) -> DataFrame:
-    """Mark ``df`` for broadcast only when its estimated size is under ``limit_bytes``; otherwise the
-    optimizer is left to choose a shuffled join."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if table_bytes(df) <= limit_bytes else df
