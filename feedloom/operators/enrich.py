@@ -31,9 +31,15 @@ class FirstSentence:
 
 
 def enrich(df: DataFrame, key: str, column: str, enricher: Enricher, batch: int = 16) -> DataFrame:
-    """key, reply of every row; an exception in a batch gives null for that batch only."""
+    """key, reply of every row; after an exception in a batch its texts are tried one by one, so only the failing ones are null."""
     kind = df.schema[key].dataType.simpleString()
 
+    def alone(text: str) -> str | None:
+        try:
+            return enricher([text])[0]
+        except Exception:  # noqa: BLE001
+            return None
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             replies: list[str | None] = []
@@ -42,7 +48,7 @@ def enrich(df: DataFrame, key: str, column: str, enricher: Enricher, batch: int
                 try:
                     replies.extend(enricher(texts))
                 except Exception:  # noqa: BLE001
-                    replies.extend([None] * len(texts))
+                    replies.extend(alone(t) for t in texts)
             yield pd.DataFrame({"k": pdf["k"], "reply": replies})
 
     return df.select(F.col(key).alias("k"), filled(column).alias("t")).mapInPandas(run, f"k {kind}, reply string").withColumnRenamed("k", key)

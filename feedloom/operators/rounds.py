@@ -18,7 +18,7 @@ from feedloom.functions.deals import company_key, event_day, round_amount, stage
 from feedloom.functions.text import filled
 
 FACTS = ("announced_time", "company", "summary", "stage", "raise_amount", "valuation", "investors", "url")
-SCHEMA = "company_key string, round_no int, pos bigint, event_date string, announced_time string, company string, summary string, stage string, raise_amount string, valuation string, investors string, url string, sources array<string>, passes array<string>, n_reports bigint"
+SCHEMA = "company_key string, round_no int, pos bigint, event_date string, announced_time string, company string, summary string, stage string, raise_amount string, valuation string, investors string, url string, sources array<string>, discrepancy string, passes array<string>, n_reports bigint"
 
 
 def _known(v) -> bool:
@@ -55,6 +55,8 @@ def _join(a: dict, b: dict, keys) -> dict:
     out["day"] = min(days) if days else None
     out["sources"] = list(dict.fromkeys([*_list(best["sources"]), *_list(rest["sources"])]))
     out["passes"] = list(dict.fromkeys([*_list(a["passes"]), *_list(b["passes"])]))
+    # a note on figures that differ: the richer report's, else the other's
+    out["discrepancy"] = out["discrepancy"] if str(out["discrepancy"] or "").strip() else rest["discrepancy"] or ""
     out["pos"], out["n_reports"] = min(a["pos"], b["pos"]), a["n_reports"] + b["n_reports"]
     out["stage_key"], out["amount_key"] = keys(out["stage"], out["raise_amount"], a, b)
     return out
@@ -68,9 +70,10 @@ def _key_of(stage, amount, a, b) -> tuple[str, str]:
 def merge_rounds(events: DataFrame, days: int = 3) -> DataFrame:
     """One row per consolidated round of each company; rows without a company are dropped."""
     cols = ["event_date", *FACTS]
-    base = events.select("pos", *cols, F.coalesce("sources", F.array().cast("array<string>")).alias("sources"), F.coalesce("_passes", F.array().cast("array<string>")).alias("passes"))
+    note = filled("discrepancy") if "discrepancy" in events.columns else F.lit("")
+    base = events.select("pos", *cols, note.alias("discrepancy"), F.coalesce("sources", F.array().cast("array<string>")).alias("sources"), F.coalesce("_passes", F.array().cast("array<string>")).alias("passes"))
     base = base.filter(F.trim(filled("company")) != "")
-    once = base.groupBy(*cols, "sources", "passes").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n_reports"))
+    once = base.groupBy(*cols, "discrepancy", "sources", "passes").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n_reports"))
     keyed = once.withColumns({"company_key": company_key(F.col("company")), "stage_key": stage_key(F.col("stage")), "amount_key": round_amount(F.col("raise_amount")), "day": event_day(F.col("event_date"))})
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:

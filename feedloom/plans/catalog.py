@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from feedloom.plans import deal_queries, flow_queries, report_queries, text_queries
+from feedloom.plans import deal_queries, flow_queries, record_queries, report_queries, text_queries
 from feedloom.plans.registry import Query
 
-_PARTS = (text_queries.R, deal_queries.R, flow_queries.R, report_queries.R)
+_PARTS = (text_queries.R, deal_queries.R, flow_queries.R, report_queries.R, record_queries.R)
 
 
 def queries() -> dict[str, Query]:
