@@ -18,9 +18,11 @@ def _cell(v):
     if isinstance(v, bool) or type(v).__name__ == "bool_":
         return str(bool(v))
     if isinstance(v, (int, float)) or type(v).__name__.startswith(("int", "float")):
-        return f"{float(v):.5f}"
+        # sums of floats depend on their order in the last digits
+        return f"{float(v):.12g}"
     if hasattr(v, "isoformat"):
-        return v.isoformat()[:10]
+        # the two engines give a day as date or as midnight
+        return v.isoformat().removesuffix("T00:00:00")
     return str(v)
 
 
