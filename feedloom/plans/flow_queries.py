@@ -10,7 +10,7 @@ from feedloom import vocab
 from feedloom.functions.text import filled, first_filled, significant_words
 from feedloom.operators import rules, stories
 from feedloom.operators.collection import collect_posts
-from feedloom.operators.ranking import numbered, ranked, with_next
+from feedloom.operators.ranking import numbered, with_next
 from feedloom.operators.simjoin import classes_of, similar_pairs
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
@@ -55,8 +55,9 @@ def account_health(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add("SELECT event_id, user_id, rn FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 8")
 def per_account_cap(spark: SparkSession, d: str) -> DataFrame:
-    rows = ranked(table(spark, d, "events").select("event_id", "user_id", "ts"), ["user_id"], "ts", "event_id", rank="rn")
-    return rows.filter("rn <= 8").select("event_id", "user_id", "rn")
+    # a rank with a bound is cut in every partition before the shuffle
+    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("bigint")
+    return table(spark, d, "events").select("event_id", "user_id", rn.alias("rn"), "ts").filter("rn <= 8").select("event_id", "user_id", "rn")
 
 
 @R.add()

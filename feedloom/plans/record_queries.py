@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import records as X
 from feedloom.functions.text import filled, first_filled
-from feedloom.operators import resolution, rules
+from feedloom.operators import curation, resolution, rules
 from feedloom.operators.collection import account_report, collect_posts, search_again
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
-from feedloom.plans.flow_queries import _WATCH, _WT
+from feedloom.plans.flow_queries import _LABS, _WATCH, _WT
 from feedloom.session import table
+from feedloom.sources.dims import labs_from_lines
+from feedloom.sources.html import article_pages
 
 R = Registry()
 
@@ -223,3 +225,26 @@ def search_again_for(spark: SparkSession, d: str) -> DataFrame:
     posts = table(spark, d, "raw_x")
     accounts = posts.select(F.lower(filled("author")).alias("account")).distinct().unionByName(spark.createDataFrame([("@nobody_one",)], "account string"))
     return search_again(account_report(accounts, posts, collect_posts(posts)), "auto")
+
+
+_EDGE = "[\\s\\x0B\\x{85}\\p{Z}]+"
+_LINES = f"array_to_string(list_filter(list_transform(string_split(coalesce(content, ''), chr(10)), lambda x: regexp_replace(x, '^{_EDGE}|{_EDGE}$', '', 'g')), lambda x: x <> ''), chr(10))"
+
+
+@R.add(f"""SELECT pos, trim(regexp_replace(coalesce(title, ''), '{_EDGE}', ' ', 'g')) AS title, trim(regexp_replace(coalesce(published_at, ''), '{_EDGE}', ' ', 'g')) AS date_text, md5({_LINES}) AS content_md5, length({_LINES}) AS n_chars FROM classified_articles""")
+def article_pages_read(spark: SparkSession, d: str) -> DataFrame:
+    """Article pages with menus and scripts around them, read back."""
+    safe = lambda c: F.replace(F.replace(F.replace(filled(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page = F.concat(
+        F.lit("<html><head><title>other</title><script>var a = '<p>no</p>';</script></head><body><div><h1>menu</h1></div><h1 class='big rich_media_title'>"), safe("title"), F.lit("</h1><em id=publish_time>"), safe("published_at"),
+        F.lit("</em><div id='js_content' class='x'><style>p {}</style><img src=a><p>"), F.replace(safe("content"), F.lit("\n"), F.lit("</p><br><p>")), F.lit("</p></div><footer>more</footer></body></html>"),
+    )
+    got = article_pages(table(spark, d, "classified_articles").select("pos", page.alias("page")), "pos", "page", clip=None)
+    return got.select("pos", "title", "date_text", F.md5("content").alias("content_md5"), F.length("content").cast("bigint").alias("n_chars"))
+
+
+@R.add()
+def curated_articles(spark: SparkSession, d: str) -> DataFrame:
+    """Every article with what curation says of it."""
+    lines = spark.createDataFrame([(i, x) for i, x in enumerate(_LABS, 1)], "lineno int, line string")
+    return curation.curate(table(spark, d, "summarized_articles"), labs_from_lines(lines), require_source=True)

@@ -10,8 +10,10 @@ from feedloom.functions import text as T
 from feedloom.functions import urls
 from feedloom.operators import rules
 from feedloom.plans import sqltext as S
+from feedloom.operators.curation import frontier_of
 from feedloom.plans.registry import Registry
 from feedloom.session import table
+from feedloom.sources.dims import labs_from_lines
 
 R = Registry()
 _BODY = "(coalesce(title, '') || ' ' || coalesce(description, ''))"
@@ -192,20 +194,16 @@ def bullets_to_paragraph(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "summarized_articles").select("pos", T.bullets_to_paragraph(F.col("content")).alias("paragraph"))
 
 
+_LABS = (
+    "Glapiste: glapiste robotics, glapiste, @glapiste, glapiste-robotics.example", "Tukisa: tukisa labs, tukisa, @tukisa, tukisa-labs.example",
+    "Lenlunkon: lenlunkon technologies, lenlunkon, @lenlunkon, @lenlunkon_ai, lenlunkon-technologies.example",
+)
+
+
 @R.add()
 def frontier_subjects(spark: SparkSession, d: str) -> DataFrame:
     """First lab of a dimension table, and first test of it, that holds for an article: author, host, subject."""
-    labs = (
-        ("Glapiste", ("glapiste robotics", "glapiste"), ("glapiste",), ("glapiste-robotics.example",)),
-        ("Tukisa", ("tukisa labs", "tukisa"), ("tukisa",), ("tukisa-labs.example",)),
-        ("Lenlunkon", ("lenlunkon technologies", "lenlunkon"), ("lenlunkon", "lenlunkon_ai"), ("lenlunkon-technologies.example",)),
-    )
-    author = F.lower(F.regexp_replace(T.filled("author"), "^@", ""))
-    tests = []
-    for k, (name, aliases, handles, domains) in enumerate(labs):
-        for t, (kind, hit) in enumerate((("author", author.isin(*handles)), ("host", urls.host_in(urls.host(F.col("source_url")), domains)), ("subject", rules.subject_alias(F.col("title"), aliases)))):
-            tests.append(F.when(hit, F.struct(F.lit(k).alias("ord"), F.lit(t).alias("test"), F.lit(name).alias("lab"), F.lit(kind).alias("reason"))))
-    first = F.try_element_at(F.array_sort(F.filter(F.array(*tests), lambda x: x.isNotNull())), F.lit(1))
-    posts = table(spark, d, "raw_x").select("pos", first.alias("f")).filter("f is not null")
-    ranked = posts.groupBy("f.lab").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
+    labs = labs_from_lines(spark.createDataFrame([(i, x) for i, x in enumerate(_LABS, 1)], "lineno int, line string"))
+    hits = frontier_of(table(spark, d, "raw_x").select("pos", "author", "title", "source_url"), labs)
+    ranked = hits.groupBy("lab").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
     return ranked.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "first_pos")))

@@ -12,11 +12,11 @@ def accounts_from_lines(lines: DataFrame) -> DataFrame:
     level = F.when(word.isin("strict", "news", "off", "on"), word).when(word.isin("true", "yes"), "on").when(word.isin("false", "no"), "off")
     w = Window.orderBy("lineno").rowsBetween(Window.unboundedPreceding, 0)
     filled_down = lines.withColumn("level", F.coalesce(F.last(level, ignorenulls=True).over(w), F.lit("on")))
-    return filled_down.filter("startswith(line, '@')").select("lineno", F.lower(F.substring("line", 2, 200)).alias("handle"), "level")
+    return filled_down.filter("startswith(line, '@')").select("lineno", F.lower(F.expr("substring(line, 2)")).alias("handle"), "level")
 
 
 def searches_from_lines(lines: DataFrame) -> DataFrame:
-    return lines.filter("startswith(line, 'search:')").select("lineno", F.trim(F.substring("line", 8, 400)).alias("query"))
+    return lines.filter("startswith(line, 'search:')").select("lineno", F.trim(F.expr("substring(line, 8)")).alias("query"))
 
 
 def labs_from_lines(lines: DataFrame) -> DataFrame:

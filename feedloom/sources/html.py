@@ -85,3 +85,77 @@ def mail_body(part: F.Column) -> F.Column:
     std = F.translate(part, "-_", "+/")
     padded = F.concat(std, F.repeat(F.lit("="), (4 - F.length(std) % 4) % 4))
     return F.try_to_binary(padded, F.lit("base64")).cast("string")
+
+
+#: Elements of an article page by preference: (tag, attribute, value); an empty attribute takes any element of the tag.
+TITLE_AT = (("h1", "class", "rich_media_title"), ("h2", "id", "activity-name"), ("h1", "", ""), ("title", "", ""))
+DATE_AT = (("em", "id", "publish_time"), ("span", "id", "publish_time"), ("em", "class", "publish_time"))
+BODY_AT = (("div", "id", "js_content"), ("div", "class", "rich_media_content"), ("div", "id", "page-content"), ("article", "", ""), ("body", "", ""))
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_SILENT = frozenset(("script", "style"))
+
+
+class _Page(HTMLParser):
+    """Texts of the first element that each selector meets, in one pass."""
+
+    def __init__(self, selectors) -> None:
+        super().__init__(convert_charrefs=True)
+        self.found: dict[tuple, list[str]] = {}
+        self.wanted = set(selectors)
+        self.open: list[tuple[str, list[tuple]]] = []
+        self.silent = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _VOID:
+            return
+        values = dict(attrs)
+        hits = []
+        for s in self.wanted:
+            if s[0] == tag and s not in self.found and (not s[1] or s[2] in (values.get(s[1]) or "").split()):
+                self.found[s] = []
+                hits.append(s)
+        self.open.append((tag, hits))
+        self.silent += tag in _SILENT
+
+    def handle_endtag(self, tag):
+        if not any(t == tag for t, _ in self.open):
+            return
+        while self.open:
+            t, _ = self.open.pop()
+            self.silent -= t in _SILENT
+            if t == tag:
+                break
+
+    def handle_data(self, data):
+        if self.silent:
+            return
+        for _, hits in self.open:
+            for s in hits:
+                self.found[s].append(data)
+
+
+def article_pages(pages: DataFrame, key: str, column: str, clip: int = 8000, head: int = 200) -> DataFrame:
+    """key, title, date_text, content, description of article pages: the first selector of each kind that the page has. Content is its non-blank
+    lines, one for each text of an element, cut at ``clip`` characters (null for no limit); null pages give empty texts."""
+
+    def first(found: dict, selectors) -> list[str]:
+        return next((found[s] for s in selectors if s in found), [])
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for page in pdf["h"]:
+                p = _Page((*TITLE_AT, *DATE_AT, *BODY_AT))
+                p.feed(page or "")
+                p.close()
+                lines = [ln.strip() for text in first(p.found, BODY_AT) for ln in text.split("\n")]
+                content = "\n".join(ln for ln in lines if ln)
+                content = content if clip is None else content[:clip]
+                flat = lambda x: " ".join("".join(x).split())
+                rows.append((flat(first(p.found, TITLE_AT)), flat(first(p.found, DATE_AT)), content, content[:head].replace("\n", " ")))
+            out = pd.DataFrame(rows, columns=["title", "date_text", "content", "description"])
+            out.insert(0, "k", pdf["k"].to_numpy())
+            yield out
+
+    kind = pages.schema[key].dataType.simpleString()
+    return pages.select(F.col(key).alias("k"), F.col(column).alias("h")).mapInPandas(run, f"k {kind}, title string, date_text string, content string, description string").withColumnRenamed("k", key)

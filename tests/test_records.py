@@ -165,3 +165,41 @@ def test_rounds_keep_a_discrepancy(spark):
     got = merge_rounds(df).collect()
     assert len(got) == 1 and got[0].discrepancy == "sums differ" and got[0].raise_amount == "$5M" and got[0].event_date == "2026-01-02"
     assert merge_rounds(df.drop("discrepancy")).collect()[0].discrepancy == ""
+
+
+def test_article_pages(spark):
+    from feedloom.sources.html import article_pages
+
+    page = "<html><head><title>t</title></head><body><h1>menu</h1><h1 class='a rich_media_title'>Big\n <b>news</b></h1><span id=publish_time>2026年03月10日</span><div id=js_content><script>x()</script><p>one &amp; two</p><br><p> three</p></div><p>out</p></body></html>"
+    rows = [(1, page), (2, "<title>only</title><body>text<style>p{}</style> more</body>"), (3, None), (4, "<div><p>unclosed")]
+    got = {r.k: (r.title, r.date_text, r.content, r.description) for r in article_pages(spark.createDataFrame(rows, "k int, h string"), "k", "h").collect()}
+    assert got[1] == ("Big news", "2026年03月10日", "one & two\nthree", "one & two three")
+    assert got[2] == ("only", "", "text\nmore", "text more") and got[3] == ("", "", "", "") and got[4] == ("", "", "", "")
+
+
+def test_curation(spark):
+    from feedloom.operators.curation import curate
+    from feedloom.sources.dims import labs_from_lines
+
+    labs = labs_from_lines(spark.createDataFrame([(1, "Orion: orion labs, @orion_hq, orion.example"), (2, "Empty:")], "lineno int, line string"))
+    schema = "pos long, source string, author string, title string, description string, content string, url string, source_url string, category string, subject_type string, content_type string, manual boolean"
+    rows = [
+        (1, "s", "@a", "Acme launched a new wafer line", "Acme launched a new wafer line today", "", "https://acme.example/1", None, None, None, "news", None),
+        (2, "s", "@b", "Other words", "Told elsewhere", "", "https://acme.example/1", None, None, None, "news", None),
+        (3, "s", "@orion_hq", "A plain headline of theirs", "text on battery cells", "", "https://m.example/3", None, None, None, "news", None),
+        (4, "s", "@c", "Something from their site", "words about grid fees", "", "https://blog.orion.example/4", None, None, None, "news", None),
+        (5, "s", "@c", "Orion Labs ships a model", "this and that on soil cores", "", "https://m.example/5", None, None, None, "news", None),
+        (6, "s", "@c", "My view of robots", "robots are fine", "", "https://m.example/6", None, None, None, "opinion", None),
+        (7, "WeChat", "@c", "Hand picked opinion", "penalty shots", "", "https://m.example/7", None, None, None, "opinion", None),
+        (8, "s", "@c", "No link at all here", "the harbour bridge", "", "", None, None, None, "news", None),
+        (9, "s", "@c", "Large company news", "chess club", "", "https://m.example/9", None, None, "big_tech", "news", None),
+        (10, None, None, None, None, None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.pos: r.verdict for r in curate(df, labs, require_source=True).collect()}
+    assert got[1] == "kept" and got[2] == "duplicate" and got[3] == "Orion — author" and got[4] == "Orion — host" and got[5] == "Orion — subject"
+    assert got[6] == "commentary, not news" and got[7] == "hand picked" and got[8] == "no source article found" and got[9] == "subject is big tech" and got[10] == "no event reported"
+    wide = {r.pos: r.verdict for r in curate(df, None, include_opinion=True).collect()}
+    assert {wide[i] for i in (3, 4, 5, 6, 8, 9)} == {"kept"} and wide[7] == "hand picked"
+    assert {r.verdict for r in curate(df, dedupe_only=True).collect()} == {"kept", "duplicate"}
+    assert curate(df.limit(0), labs).count() == 0
