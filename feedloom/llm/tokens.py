@@ -2,10 +2,10 @@
 
 The encoder is a streaming transducer. Reading left to right it keeps, for every byte position, the last token of
 the encoding of the prefix that ends there: the one token whose pair with the last token before it is stable under
-the merge list. A token is emitted once every position from which a later token can still start agrees on it, so
-memory is bounded by the lookahead that the merge list allows (:meth:`MergeTable.sufficient_lookahead`), not by the
-text. Pieces between the splits of the pre-tokenizer are memoised; the splitter itself streams with three
-characters of lookahead. Decoding is a byte-to-text state machine fed token by token.
+the merge list. A token is emitted once every position from which a later token can still start agrees on it; the merge list's
+sufficient lookahead (:meth:`MergeTable.sufficient_lookahead`) bounds how many bytes that can take, and the encoder holds to it, so
+memory depends on the merge list, not on the text. Pieces between the splits of the pre-tokenizer are memoised; the splitter itself streams with three
+characters of lookahead, and a run of letters, digits or signs longer than ``OPEN_RUN`` characters goes through the transducer as it arrives. Decoding is a byte-to-text state machine fed token by token.
 
 Defined results: null, empty and blank texts are encoded too; null and empty texts give an empty list. The special
 token's string is ordinary text. One row per document, repeated rows included. The tokenizer's path is a parameter.
@@ -14,6 +14,7 @@ token's string is ordinary text. One row per document, repeated rows included. T
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -27,28 +28,33 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT_LOOKAHEAD = 3
+OPEN_RUN = 4096
+#: The runs of which a piece may consist; white space splits by what follows it and is kept whole.
+RUNS = tuple(regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+"))
 
 
 class MergeTable:
     """Ranks of a byte-level BPE and what follows from them."""
 
-    def __init__(self, path: str = DEFAULT_VOCABULARY):
+    def __init__(self, vocabulary: bytes):
         self.ranks: dict[bytes, int] = {}
-        with open(path, "rb") as f:
-            for line in f:
-                if line.strip():
-                    token, rank = line.split()
-                    self.ranks[base64.b64decode(token)] = int(rank)
+        for line in vocabulary.splitlines():
+            if line.strip():
+                token, rank = line.split()
+                self.ranks[base64.b64decode(token)] = int(rank)
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
         self._pairs: dict[tuple[int, int], bool] = {}
         self._alone: dict[int, bool] = {}
         self._automaton: ahocorasick.Automaton | None = None
+        self._lookahead: int | None = None
 
     def sufficient_lookahead(self) -> int:
         """Bytes after which a token boundary cannot change any more: number of merges times the longest right half (upper bound)."""
-        merges = [t for t in self.ranks if len(t) > 1]
-        return len(merges) * max(len(t) - 1 for t in merges)
+        if self._lookahead is None:
+            merges = [t for t in self.ranks if len(t) > 1]
+            self._lookahead = len(merges) * max(len(t) - 1 for t in merges)
+        return self._lookahead
 
     @property
     def automaton(self) -> ahocorasick.Automaton:
@@ -170,6 +176,8 @@ class Transducer:
         tokens = self._settled()
         if tokens:
             self._emitted = tokens[-1]
+        elif self.size - self.base > self.table.sufficient_lookahead():
+            raise RuntimeError("no stable token within the lookahead of the merge list")
         yield from tokens
 
     def finish(self) -> Iterator[int]:
@@ -198,7 +206,8 @@ class Encoder:
                 ids = [whole]
             else:
                 t = Transducer(self.table)
-                ids = [*t.feed(data), *t.finish()]
+                ids = [i for at in range(0, len(data), OPEN_RUN) for i in t.feed(data[at : at + OPEN_RUN])]
+                ids.extend(t.finish())
             if len(piece) <= 64:
                 if len(self.memo) >= self.memo_size:
                     self.memo.clear()
@@ -208,14 +217,33 @@ class Encoder:
     def stream(self, chunks: Iterable[str]) -> Iterator[int]:
         """Ids of a text that arrives in chunks."""
         held = ""
+        run, open_run = None, None  # the kind of a long run and its transducer
         for part in chunks:
             text = held + part
-            held, settled = "", len(text) - SPLIT_LOOKAHEAD
+            held = ""
+            if run is not None:
+                m = run.match(text)
+                end = m.end() if m else 0
+                yield from open_run.feed(text[:end].encode("utf-8"))
+                if end == len(text):
+                    continue
+                yield from open_run.finish()
+                run, text = None, text[end:]
+            settled = len(text) - SPLIT_LOOKAHEAD
             for m in self.pattern.finditer(text):
                 if m.end() > settled:
                     held = text[m.start() :]
                     break
                 yield from self.piece(m.group())
+            if len(held) > OPEN_RUN:
+                # one run to the end of what has arrived: whatever follows can only lengthen it
+                run = next((r for r in RUNS if r.fullmatch(held, held[0] == " ")), None)
+                if run is not None:
+                    open_run = Transducer(self.table)
+                    yield from open_run.feed(held.encode("utf-8"))
+                    held = ""
+        if run is not None:
+            yield from open_run.finish()
         for m in self.pattern.finditer(held):
             yield from self.piece(m.group())
 
@@ -276,20 +304,32 @@ class Decoder:
 
 
 _TABLES: dict[str, MergeTable] = {}
+MAX_VOCABULARY_BYTES = 64 << 20
+
+
+def vocabulary_bytes(path: str) -> bytes:
+    """The vocabulary file, read where the plan is made; the workers get its bytes."""
+    size = os.path.getsize(path)
+    if size > MAX_VOCABULARY_BYTES:
+        raise ValueError(f"{path} has {size} bytes, more than a vocabulary may have to be sent to all workers")
+    with open(path, "rb") as f:
+        return f.read()
 
 
-def merge_table(path: str) -> MergeTable:
-    """The table of a path, read once per worker."""
+def merge_table(path: str, vocabulary: bytes | None = None) -> MergeTable:
+    """The table of a path, built once in a process."""
     if path not in _TABLES:
-        _TABLES[path] = MergeTable(path)
+        _TABLES[path] = MergeTable(vocabulary_bytes(path) if vocabulary is None else vocabulary)
     return _TABLES[path]
 
 
 def encode_texts(df: DataFrame, key: str = "doc_id", column: str = "text", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """key, ids of every row."""
 
+    shipped = df.sparkSession.sparkContext.broadcast(vocabulary_bytes(vocabulary))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(merge_table(vocabulary))
+        enc = Encoder(merge_table(vocabulary, shipped.value))
         for batch in batches:
             n = batch.num_rows
             step = 512
@@ -308,8 +348,10 @@ def encode_texts(df: DataFrame, key: str = "doc_id", column: str = "text", vocab
 def decode_ids(df: DataFrame, key: str = "doc_id", column: str = "ids", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """key, text of every row of ids; null ids give null, unknown ids U+FFFD."""
 
+    shipped = df.sparkSession.sparkContext.broadcast(vocabulary_bytes(vocabulary))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = merge_table(vocabulary)
+        table = merge_table(vocabulary, shipped.value)
         for batch in batches:
             texts = [None if ids is None else Decoder(table).decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["k", "text"])

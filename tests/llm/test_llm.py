@@ -270,6 +270,18 @@ def test_tokens_match_the_public_libraries(spark):
     assert table.sufficient_lookahead() > table.longest
 
 
+def test_long_runs_stream():
+    tiktoken = pytest.importorskip("tiktoken")
+    table = tokens.merge_table(tokens.DEFAULT_VOCABULARY)
+    ref = tiktoken.Encoding("own", pat_str=tokens.PATTERN, mergeable_ranks=table.ranks, special_tokens={})
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choice("abcdeé中") for _ in range(k))
+    texts = [" " + word(30_000) + "'s end", word(9_000) + "12" * 4_000 + "!?" * 5_000 + " x", " " * 9_000 + "x" + "\n" * 5_000, "x " + "-" * 12_000, "'" * 9_000 + "ll"]
+    for chunk in (1_000, 5_000):
+        enc = tokens.Encoder(table, chunk=chunk)
+        assert [enc.encode(t) for t in texts] == [ref.encode_ordinary(t) for t in texts]
+
+
 def test_tokens_frame(spark):
     df = spark.createDataFrame([(1, "hello world"), (2, None), (3, ""), (1, "hello world"), (4, "word " * 100_000)], "doc_id long, text string").withColumn("ids", F.lit("clash"))
     ids = {r.doc_id: r.ids for r in tokens.encode_texts(df).collect()}
