@@ -2,7 +2,7 @@
 
 Compression classification: each line is encoded by zstandard with a raw-content dictionary of every language, and
 the language whose dictionary gives the smallest frame wins. Where the lead over the second is narrow the line is
-rejected and joins its neighbours, as do lines that hold only links, tags or names; runs of lines in one language are
+rejected and joins its neighbours (a title or a field of such lines goes to a slower search of the same dictionaries), as do lines that hold only links, tags or names; runs of lines in one language are
 the segments. The dictionaries are built in two steps: short seed texts written for this purpose classify a bounded
 sample of lines, and lines that agree with their row's own label become the final dictionaries.
 
@@ -60,7 +60,8 @@ SEEDS = {
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    """sample_rows: rows that supply dictionary text; dictionary_bytes: size of a dictionary; margin: bytes of lead below which a line is rejected."""
+    """sample_rows: rows that supply dictionary text; dictionary_bytes: size of a dictionary; margin: bytes of lead below which a line is rejected;
+    narrow: lead of a whole field below which the fine encoder decides, from ``fine_lead`` bytes on."""
 
     sample_rows: int = 6000
     dictionary_bytes: int = 12 * 1024
@@ -71,6 +72,8 @@ class LanguageConfig:
     plain_below: int = 90
     short_margin: int = 9
     narrow: int = 10
+    fine_level: int = 12
+    fine_lead: int = 6
     scale: float = 4.0
 
 
@@ -122,6 +125,13 @@ class Compressors:
             d.precompute_compress(compression_params=p)
             self.encode.append(zstandard.ZstdCompressor(compression_params=p, dict_data=d).compress)
         self.memo: dict[str, tuple[int, ...]] = {}
+        # a slower search for longer matches, for what the fast one rejects
+        self.fine = []
+        for lang in LANGS:
+            d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            p = zstandard.ZstdCompressionParameters.from_level(cfg.fine_level, window_log=17, min_match=3, write_content_size=False, write_checksum=False, write_dict_id=False)
+            d.precompute_compress(compression_params=p)
+            self.fine.append(zstandard.ZstdCompressor(compression_params=p, dict_data=d).compress)
 
     def sizes(self, line: str) -> tuple[int, ...]:
         s = self.memo.get(line)
@@ -142,13 +152,18 @@ class Compressors:
     def confidence(self, lead: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, lead / self.cfg.scale))))
 
-    def _narrow(self, text: str, sizes: tuple[int, ...], at: int, lead: int) -> int:
-        """For a field of one short line with a narrow lead: the language of most marks among those within ``narrow`` bytes."""
+    def _narrow(self, text: str, at: int, lead: int) -> int:
+        """A field of one short line whose lead is narrow is rejected by the fast encoder and goes to the fine one; where that finds no lead of
+        ``fine_lead`` bytes either, to the tied language with most marks."""
         if lead >= self.cfg.narrow:
             return at
+        data = plain(text).encode("utf-8", "surrogatepass")
+        sizes = [len(f(data)) for f in self.fine]
+        tied = [i for i, t in enumerate(sizes) if t < min(sizes) + self.cfg.fine_lead]
+        if len(tied) == 1:
+            return tied[0]
         low = f" {plain(text).lower()} "
         marks = [sum(low.count(c) for c in MARKS[lang]) for lang in LANGS]
-        tied = [i for i, t in enumerate(sizes) if t < min(sizes) + self.cfg.narrow]
         return max(tied, key=lambda i: (marks[i], -sizes[i]))
 
     def segments(self, text: str, single: bool) -> list[tuple[int, float, int, int]]:
@@ -173,11 +188,11 @@ class Compressors:
             if not totals:
                 return []
             at, lead = self.decide(tuple(totals))
-            at = self._narrow(text, tuple(totals), at, lead)
+            at = self._narrow(text, at, lead)
             return [(at, self.confidence(lead), lines[0][0], lines[-1][0])]
         if single:
             at, lead = self.decide(all_sizes[0])
-            return [(self._narrow(text, all_sizes[0], at, lead), self.confidence(lead), 0, 0)]
+            return [(self._narrow(text, at, lead), self.confidence(lead), 0, 0)]
         current = next(k for k in known if k is not None)
         out: list[list] = []
         for k, s, (i, _) in zip(known, all_sizes, lines, strict=True):
