@@ -84,12 +84,13 @@ def _lookup(pairs: dict[str, str]) -> Column:
 
 def canonical_record(text: Column, cascade: tuple[Format, ...] = CASCADE) -> Column:
     """The record of the first format that matches, null if none does."""
-    out = None
-    for f in cascade:
-        hit = text.rlike(f.pattern)
-        value = F.regexp_replace(text, F.lit(f.pattern), F.lit(f.record))
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    return out
+    # one match for each format: a text that stays as it is did not match, as every record holds "|" and no format does
+    return F.coalesce(*[F.nullif(F.regexp_replace(text, F.lit(f.pattern), F.lit(f.record)), text) for f in cascade])
+
+
+def _once(c: Column) -> Column:
+    """An array of the value, empty for null. A filter on a computed column is pushed below it and computes it again; an exploded array does not."""
+    return F.array_compact(F.array(c))
 
 
 def _local_instant(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column, zone: Column) -> Column:
@@ -115,9 +116,7 @@ def normalise_timestamps(
     lookup = sources.select(F.col("source").alias("_s"), F.col("time_zone").alias("_tz"), F.lower("date_order").alias("_order"))
     lookup = lookup.groupBy("_s").agg(F.max("_tz").alias("_tz"), F.max("_order").alias("_order"))
     text = F.regexp_replace(F.col(column).cast("string"), _BLANK, "")
-    rows = df.select(F.col(key).alias("_k"), F.col(source).alias("_s"), canonical_record(text).alias("_r"))
-    if not keep_invalid:
-        rows = rows.filter("_r is not null")
+    rows = df.select(F.col(key).alias("_k"), F.col(source).alias("_s"), (F.explode_outer if keep_invalid else F.explode)(_once(canonical_record(text))).alias("_r"))
     rows = rows.join(lookup, "_s", "left")
     p = F.split("_r", "[|]", -1)
     rows = rows.withColumn("_p", p)
@@ -184,8 +183,7 @@ def normalise_timestamps(
             ms = F.when(twice, F.unix_millis(again)).otherwise(ms)
         elif ambiguous == "null":
             ms = F.when(twice, F.lit(None)).otherwise(ms)
-    out = rows.select(F.col("_k").alias(key), F.coalesce("_epoch", ms).alias("epoch_ms"))
-    return out if keep_invalid else out.filter("epoch_ms is not null")
+    return rows.select(F.col("_k").alias(key), (F.explode_outer if keep_invalid else F.explode)(_once(F.coalesce("_epoch", ms))).alias("epoch_ms"))
 
 
 def article_instants(articles: DataFrame, feeds: DataFrame) -> DataFrame:
