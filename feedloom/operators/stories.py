@@ -183,18 +183,30 @@ def dedupe_titles(articles: DataFrame, threshold: float = 0.5) -> DataFrame:
     reps = once.join(classes.filter("id = rep").select(F.col("id").alias("pos")), "pos", "left_semi")
     near = similar_pairs(reps.select(F.col("pos").alias("id"), "words"), threshold).select("a", "b")
     comps = connected_components(edges.unionByName(near))
-    rows = once.join(comps, once["pos"] == comps["node"])
+    # a row knows its class of equal titles, and the class's first row the classes that are near: the fold compares no words
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    beside = both.groupBy("a").agg(F.collect_list("b").alias("near")).withColumnRenamed("a", "rep")
+    rows = once.select("pos", "size").join(comps, once["pos"] == comps["node"]).join(classes.select(F.col("id").alias("pos"), "rep"), "pos")
+    rows = rows.join(beside, "rep", "left").select("component", "pos", "size", "rep", F.when(F.col("pos") == F.col("rep"), F.col("near")).alias("near"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        for r in pdf.sort_values("pos").to_dict("records"):
-            words = set(r["words"])
-            at = next((i for i, k in enumerate(kept) if _jaccard(words, set(k["words"])) >= threshold), None)
+        """Rows in order join the oldest story whose row has a near title; a longer row takes that one's place, with its own title."""
+        pdf = pdf.sort_values("pos")
+        beside = {r: near for r, near in zip(pdf["rep"], pdf["near"], strict=True) if near is not None}
+        held: dict[int, set[int]] = {}  # class -> stories whose row is of it
+        stories: list[tuple[int, int, int]] = []  # (pos, size, class)
+        for pos, size, rep in zip(pdf["pos"].tolist(), pdf["size"].tolist(), pdf["rep"].tolist(), strict=True):
+            at = min((i for c in (rep, *beside.get(rep, ())) if held.get(c) for i in held[c]), default=None)
             if at is None:
-                kept.append(r)
-            elif r["size"] > kept[at]["size"]:
-                kept[at] = r
-        return pd.DataFrame({"pos": [k["pos"] for k in kept]})
+                at = len(stories)
+                stories.append((pos, size, rep))
+            elif size > stories[at][1]:
+                held[stories[at][2]].discard(at)
+                stories[at] = (pos, size, rep)
+            else:
+                continue
+            held.setdefault(rep, set()).add(at)
+        return pd.DataFrame({"pos": [p for p, _, _ in stories]})
 
     folded = rows.groupBy("component").applyInPandas(fold, "pos bigint")
     alone = once.join(comps.select(F.col("node").alias("pos")), "pos", "left_anti").select("pos")

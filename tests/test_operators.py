@@ -196,3 +196,22 @@ def test_ranked(spark):
     assert got == want
     assert [r.place for r in numbered(df, "i").orderBy("i").collect()] == list(range(1, 301))
     assert ranked(df.limit(0), ["g"], "i").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_title_dedup_equals_a_fold(spark, seed):
+    rng = random.Random(seed)
+    words = "acme opens lab wafer yield rises council votes budget model ships plan".split()
+    rows = [(i, " ".join(rng.sample(words, rng.randint(2, 4))), "d", "c" * rng.randint(1, 9), f"u{i}" if rng.random() < 0.9 else "u0", None, None, None) for i in range(120)]
+    seen, kept = set(), []
+    for pos, title, d, content, url, *_ in rows:
+        if url in seen:
+            continue
+        seen.add(url)
+        w = set(title.split())
+        at = next((k for k, (_, v, _) in enumerate(kept) if len(w & v) / len(w | v) >= 0.5), None)
+        if at is None:
+            kept.append((pos, w, len(content)))
+        elif len(content) > kept[at][2]:
+            kept[at] = (pos, w, len(content))
+    assert sorted(r.pos for r in dedupe_titles(spark.createDataFrame(rows, ARTICLE)).collect()) == sorted(p for p, _, _ in kept)
