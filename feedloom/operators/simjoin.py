@@ -2,7 +2,7 @@
 
 Words are ordered by rising document frequency; two sets with Jaccard ``t`` or more share a word among their first
 ``n - ceil(t n) + 1`` words. Equal sets are joined through one representative first, so copies never meet in pairs. Prefix words are
-joined with a size filter, each candidate pair is verified exactly. A word common to many sets stands late in the order and rarely in
+joined with a size and a place filter, each candidate pair is verified exactly. A word common to many sets stands late in the order and rarely in
 a prefix; a prefix word that is still hot is split by the size filter's buckets.
 """
 
@@ -26,13 +26,15 @@ def similar_pairs(sets: DataFrame, threshold: float, among: DataFrame | None = N
     keep = n - F.ceil(n * F.lit(threshold)).cast("int") + 1
     step = log(1 / threshold) if threshold < 1 else 1.0
     band = F.floor(F.log(n.cast("double")) / step).cast("int")
-    prefix = ranked.select("id", n.alias("n"), band.alias("band"), F.explode(F.slice("ws", 1, F.greatest(keep, F.lit(1)))).alias("w"))
+    prefix = ranked.select("id", n.alias("n"), band.alias("band"), F.posexplode(F.slice("ws", 1, F.greatest(keep, F.lit(1)))).alias("i", "w"))
     # rows of one side only must meet smaller sets too
     own = prefix if among is None else prefix.join(among.select("id"), "id", "left_semi")
     bands = [F.col("band") + i for i in ((0, 1) if among is None else (-1, 0, 1))]
-    left = own.select(F.col("id").alias("a"), F.col("n").alias("na"), "w", F.explode(F.array(*bands)).alias("band")).withColumn("own", F.lit(True))
-    right = prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), "w", "band")
+    left = own.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), "w", F.explode(F.array(*bands)).alias("band")).withColumn("own", F.lit(True))
+    right = prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), "w", "band")
     near = left.join(right, ["w", "band"]).filter(f"nb >= na * {threshold} and na >= nb * {threshold} and a <> b")
+    # both are in one order, so sets that share the word at these places share no more than the words before and behind it on the shorter side
+    near = near.filter(f"least(ia, ib) + 1 + least(na - ia, nb - ib) - 1 >= (na + nb) * {threshold / (1 + threshold)} - 1e-6")
     pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     x = ranked.select(F.col("id").alias("a"), F.col("ws").alias("x"))
     y = ranked.select(F.col("id").alias("b"), F.col("ws").alias("y"))

@@ -177,11 +177,12 @@ def dedupe_titles(articles: DataFrame, threshold: float = 0.5) -> DataFrame:
     """pos of the articles that remain after one row for each address and greedy removal of similar titles (longer content wins)."""
     base = articles.select("pos", filled("url").alias("url"), title_words(F.col("title")).alias("words"), F.length(F.coalesce(first_filled("content", "description"), F.lit(""))).alias("size"))
     first = base.filter("url <> ''").groupBy("url").agg(F.min("pos").alias("pos"))
-    once = base.filter("url = ''").unionByName(base.join(first.select("pos"), "pos", "left_semi"))
-    classes = classes_of(once.select(F.col("pos").alias("id"), "words"))
+    ensure_checkpoint_dir(articles.sparkSession)
+    once = base.filter("url = ''").unionByName(base.join(first.select("pos"), "pos", "left_semi")).checkpoint()
+    classes = classes_of(once.select(F.col("pos").alias("id"), "words")).checkpoint()
     edges = classes.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = once.join(classes.filter("id = rep").select(F.col("id").alias("pos")), "pos", "left_semi")
-    near = similar_pairs(reps.select(F.col("pos").alias("id"), "words"), threshold).select("a", "b")
+    near = similar_pairs(reps.select(F.col("pos").alias("id"), "words"), threshold).select("a", "b").checkpoint()
     comps = connected_components(edges.unionByName(near))
     # a row knows its class of equal titles, and the class's first row the classes that are near: the fold compares no words
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
