@@ -303,11 +303,18 @@ class Scorer:
             return np.zeros(n)
         owner = np.repeat(np.arange(n), x["pairs"])
         w = self.wording[x["buckets"]]
-        order = np.lexsort((-np.abs(w), owner))
-        w, owner = w[order], owner[order]
-        rank = np.arange(len(w)) - np.repeat(np.cumsum(x["pairs"]) - x["pairs"], x["pairs"])
-        top = rank < self.cfg.strongest
-        return 2 * np.bincount(owner[top], w[top], minlength=n) / np.maximum(np.minimum(x["pairs"], self.cfg.strongest), 1)
+        # lines of few pairs need no order; one key sorts the others by line and falling strength
+        many = np.repeat(x["pairs"] > self.cfg.strongest, x["pairs"])
+        total = np.bincount(owner[~many], w[~many], minlength=n).astype(float)
+        w, owner = w[many], owner[many]
+        if len(w):
+            strength = np.abs(w)
+            order = np.argsort(owner - strength / (strength.max() + 1.0))
+            lengths = x["pairs"][x["pairs"] > self.cfg.strongest]
+            first = np.cumsum(lengths) - lengths
+            at = order[(first[:, None] + np.arange(self.cfg.strongest)).ravel()]
+            total += np.bincount(owner[at], w[at], minlength=n)
+        return 2 * total / np.maximum(np.minimum(x["pairs"], self.cfg.strongest), 1)
 
     def score(self, x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(log odds, their part from the wording)"""
