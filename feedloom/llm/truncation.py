@@ -145,6 +145,8 @@ def _evidence():
                 hint = any(x in last_part[-60:].lower() for x in _MARK_HINTS)
                 if any(x in last_part for x in "<&[\ufffd") and _BROKEN.search(last_part):
                     state = "cut"
+                elif end and (link := end[-_TAIL:].rsplit(None, 1)[-1]).startswith(("http", "www.")) and _broken_host(link):
+                    state = "cut"
                 elif hint and (m := _MARK.search(last_part)):
                     marked, core = True, (head + last_part[: m.start()]).rstrip()
                 elif "http" in last_part and (bare := _LINKS_AFTER.sub("", last_part)) != last_part and (m := _MARK.search(bare)):
