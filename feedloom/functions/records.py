@@ -55,7 +55,7 @@ def normalized_post(text: Column, link: Column, author: Column, clip: int = 140)
 
 def display_date(c: Column) -> Column:
     """The day of an ISO date or time, any other text as it is."""
-    iso = r"^\d{4}-\d{2}-\d{2}(?:T(?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?$"
+    iso = r"^\d{4}-\d{2}-\d{2}(?:T(?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?\z"  # the end of the text, not that of its last line
     day = F.substring(filled(c), 1, 10)
     return F.when(c.rlike(iso) & F.try_to_date(day, "yyyy-MM-dd").isNotNull(), day).otherwise(c)
 

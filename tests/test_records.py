@@ -47,7 +47,7 @@ def test_subjects_and_posts(spark):
 
 
 def test_dates(spark):
-    assert values(spark, X.display_date, "2026-01-15T10:30:00Z", "2026-01-15", "15 Jan", "2026-02-30", None, "2026-01-15T25:00:00") == ["2026-01-15", "2026-01-15", "15 Jan", "2026-02-30", None, "2026-01-15T25:00:00"]
+    assert values(spark, X.display_date, "2026-01-15T10:30:00Z", "2026-01-15", "15 Jan", "2026-02-30", None, "2026-01-15T25:00:00", "2026-01-15\n") == ["2026-01-15", "2026-01-15", "15 Jan", "2026-02-30", None, "2026-01-15T25:00:00", "2026-01-15\n"]
     day = lambda c: X.page_date(c, date(2026, 5, 1))
     assert values(spark, day, "2026年03月10日", "2026年3月1日", "on 2026/3/10", "03月10日", "x", None) == ["2026-03-10T00:00:00", "2026-03-01T00:00:00", "2026-03-10T00:00:00", "2026-03-10T00:00:00", "", ""]
     assert values(spark, X.range_title, ("2026-08-10", "2026-08-14"), ("2026-08-10", "soon"), schema="a string, b string") == ["2026年8月10日 – 2026年8月14日", "2026-08-10 – soon"]
