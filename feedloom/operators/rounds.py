@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from feedloom import vocab
 from feedloom.functions.deals import company_key, event_day, round_amount, stage_key
 from feedloom.functions.text import filled
+from feedloom.session import ensure_checkpoint_dir
 
 FACTS = ("announced_time", "company", "summary", "stage", "raise_amount", "valuation", "investors", "url")
 SCHEMA = "company_key string, round_no int, pos bigint, event_date string, announced_time string, company string, summary string, stage string, raise_amount string, valuation string, investors string, url string, sources array<string>, discrepancy string, passes array<string>, n_reports bigint"
@@ -88,7 +89,13 @@ def merge_rounds(events: DataFrame, days: int = 3) -> DataFrame:
         out["round_no"] = range(1, len(rounds) + 1)
         return out[[c.split()[0] for c in SCHEMA.split(", ")]]
 
-    return keyed.groupBy("company_key").applyInPandas(fold, SCHEMA)
+    ensure_checkpoint_dir(events.sparkSession)
+    keyed = keyed.checkpoint()
+    # most companies have one report, which is a round as it is
+    several = keyed.groupBy("company_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("company_key")
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    alone = keyed.join(several, "company_key", "left_anti").withColumn("round_no", F.lit(1)).select(*names)
+    return keyed.join(several, "company_key", "left_semi").groupBy("company_key").applyInPandas(fold, SCHEMA).unionByName(alone)
 
 
 __all__ = ["merge_rounds"]
