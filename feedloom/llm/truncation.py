@@ -130,21 +130,13 @@ def _evidence():
                     if kind:
                         k = f"\x02{host}|{digits}|{kind}"
                         whole[k] = whole.get(k, 0) + 1
-                masked, runs = _mask(text)
-                open_end = text.rstrip()
-                for run_ in runs:
-                    words = run_.split(" ")
-                    # the name at the very end may be cut and is no evidence for its own last word
-                    for i, w in enumerate(words[:-1] if open_end.endswith(run_) else words):
-                        w = ("\x01" if i < len(words) - 1 else "\x03") + w
-                        whole[w] = whole.get(w, 0) + 1
                 end = text.rstrip()
                 state, core, marked = "open", end, False
                 # marks stand at the very end: their patterns need not try every place of a long text
                 head, last_part = end[:-_TAIL], end[-_TAIL:]
                 hint = any(x in last_part[-60:].lower() for x in _MARK_HINTS)
-                if any(x in last_part for x in "<&[\ufffd") and _BROKEN.search(last_part):
-                    state = "cut"
+                if any(x in last_part for x in "<&[\ufffd") and (m := _BROKEN.search(last_part)):
+                    state, core = "cut", (head + last_part[: m.start()]).rstrip()
                 elif end and (link := end[-_TAIL:].rsplit(None, 1)[-1]).startswith(("http", "www.")) and _broken_host(link):
                     state = "cut"
                 elif hint and (m := _MARK.search(last_part)):
@@ -164,6 +156,14 @@ def _evidence():
                             state = "tag" if tail[:1] in "#@" else "done"
                         elif _DONE.search(core[-20:]):
                             state = "done"
+                # what stands before a mark or a broken tag may be cut, links behind the mark or not, so it is no evidence: one such unit among whole ones hides all cuts at its place
+                masked, runs = _mask(core)
+                for run_ in runs:
+                    words = run_.split(" ")
+                    # the name at the very end may be cut and is no evidence for its own last word
+                    for i, w in enumerate(words[:-1] if core.endswith(run_) else words):
+                        w = ("\x01" if i < len(words) - 1 else "\x03") + w
+                        whole[w] = whole.get(w, 0) + 1
                 units = _units(masked.rstrip())
                 for u in units[:-1]:
                     whole[u] = whole.get(u, 0) + 1

@@ -84,6 +84,18 @@ def test_cut_links_and_one_word_units(spark):
     assert got == set(range(2000, 2000 + len(cut)))
 
 
+def test_cuts_before_marks_and_broken_tags_are_no_evidence(spark):
+    """Cuts at one place do not vouch for each other, however many there are: with a link behind the mark, or with a broken tag."""
+    topics = ["the build cache", "memory leaks", "grid fees", "the rollback tool"]
+    whole = [f"Ann Lee, who looks after {topics[i % 4]} at Corvane Materials, gave a careful answer in {i} words." for i in range(80)]
+    link = "https://s.example/1a2b3c"
+    cut = [f"Ann Lee, who looks after {t} at Corvane Mater{end}" for t in topics for end in (f"... {link}", f"\u2026 {link}", "&#82", "</p", "")]
+    cut += [f"Ann Lee, who looks after {t} at Corvane Materials, gave a caref{end}" for t in topics for end in (f"... {link}", "")]
+    df = spark.createDataFrame([("t", i, "s", t) for i, t in enumerate(whole + cut)], "tab string, pos long, source string, text string")
+    got = {r.pos for r in truncation.truncated(df, truncation.TruncationConfig(spike=1e9)).collect()}
+    assert got == set(range(80, 80 + len(cut)))
+
+
 def test_censoring_finds_the_limit(spark):
     rng = random.Random(3)
     sizes = [max(5, int(rng.lognormvariate(5, 0.4))) for _ in range(3000)]
