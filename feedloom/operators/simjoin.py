@@ -2,7 +2,7 @@
 
 Words are ordered by rising document frequency; two sets with Jaccard ``t`` or more share a word among their first
 ``n - ceil(t n) + 1`` words. Equal sets are joined through one representative first, so copies never meet in pairs. Prefix words are
-joined with a size and a place filter, each candidate pair is verified exactly. A word common to many sets stands late in the order and rarely in
+joined with filters on size, place and a bitmap of the sets, each pair that is left is verified exactly. A word common to many sets stands late in the order and rarely in
 a prefix; a prefix word that is still hot is split by the size filter's buckets.
 """
 
@@ -11,30 +11,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import ensure_checkpoint_dir
 
-def similar_pairs(sets: DataFrame, threshold: float, among: DataFrame | None = None) -> DataFrame:
+#: Longs of 64 bits that stand for a set where candidates are compared.
+_LONGS = 2
+
+
+def similar_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity), a < b, of all pairs of rows of ``sets`` (id, words) at ``threshold`` or above.
 
-    Null and empty sets match nothing. With ``among`` (id) only pairs that hold one of its rows. Representatives of equal sets only; see :func:`classes_of` for the members.
+    Null and empty sets match nothing. Representatives of equal sets only; see :func:`classes_of` for the members.
+    Words are numbered in their order and the numbered sets are checkpointed: three joins read them, and the numbers hold only as long as they are not made again.
     """
     from math import log
 
+    ensure_checkpoint_dir(sets.sparkSession)
     df = sets.filter("size(words) > 0").select("id", F.explode("words").alias("w"))
-    freq = df.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-    ranked = df.join(freq, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("r")).select("id", F.transform("r", lambda x: x["w"]).alias("ws"))
+    numbered = df.groupBy("w").agg(F.count(F.lit(1)).alias("df")).orderBy("df", "w").select("w", F.monotonically_increasing_id().alias("no")).checkpoint()
+    ws = df.join(numbered, "w").groupBy("id").agg(F.sort_array(F.collect_list("no")).alias("ws"))
+    # a word sets one of so many bits: sets differ in as many words at least as their bits do
+    bits = [F.expr(f"aggregate(ws, 0L, (x, w) -> x | if(pmod(xxhash64(w), {_LONGS}) = {k}, shiftleft(1L, cast(pmod(shiftright(xxhash64(w), 8), 64) as int)), 0L))") for k in range(_LONGS)]
+    ranked = ws.select("id", "ws", *[b.alias(f"s{k}") for k, b in enumerate(bits)]).checkpoint()
     n = F.size("ws")
     keep = n - F.ceil(n * F.lit(threshold)).cast("int") + 1
     step = log(1 / threshold) if threshold < 1 else 1.0
     band = F.floor(F.log(n.cast("double")) / step).cast("int")
-    prefix = ranked.select("id", n.alias("n"), band.alias("band"), F.posexplode(F.slice("ws", 1, F.greatest(keep, F.lit(1)))).alias("i", "w"))
-    # rows of one side only must meet smaller sets too
-    own = prefix if among is None else prefix.join(among.select("id"), "id", "left_semi")
-    bands = [F.col("band") + i for i in ((0, 1) if among is None else (-1, 0, 1))]
-    left = own.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), "w", F.explode(F.array(*bands)).alias("band")).withColumn("own", F.lit(True))
-    right = prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), "w", "band")
-    near = left.join(right, ["w", "band"]).filter(f"nb >= na * {threshold} and na >= nb * {threshold} and a <> b")
+    signs = [f"s{k}" for k in range(_LONGS)]
+    prefix = ranked.select("id", n.alias("n"), band.alias("band"), *signs, F.posexplode(F.slice("ws", 1, F.greatest(keep, F.lit(1)))).alias("i", "w"))
+    left = prefix.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), *[F.col(x).alias(f"{x}a") for x in signs], "w", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    right = prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), *[F.col(x).alias(f"{x}b") for x in signs], "w", "band")
+    least = f"(na + nb) * {threshold / (1 + threshold)} - 1e-6"
+    apart = " + ".join(f"bit_count({x}a ^ {x}b)" for x in signs)
+    near = left.join(right, ["w", "band"]).filter(f"nb >= na * {threshold} and na >= nb * {threshold} and a <> b and na + nb - ({apart}) >= 2 * ({least})")
     # both are in one order, so sets that share the word at these places share no more than the words before and behind it on the shorter side
-    near = near.filter(f"least(ia, ib) + 1 + least(na - ia, nb - ib) - 1 >= (na + nb) * {threshold / (1 + threshold)} - 1e-6")
+    near = near.filter(f"least(ia, ib) + 1 + least(na - ia, nb - ib) - 1 >= {least}")
     pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     x = ranked.select(F.col("id").alias("a"), F.col("ws").alias("x"))
     y = ranked.select(F.col("id").alias("b"), F.col("ws").alias("y"))

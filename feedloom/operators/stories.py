@@ -2,15 +2,15 @@
 
 The fold keeps the first row of a story, lets a richer repeat take its place, and matches by address, by wording, by
 similarity of words and by shared names and figures. Rows can only meet if a chain of necessary conditions connects them, so the
-fold runs inside the connected components of these edges: same address, same wording, similarity of words at the threshold, and, for rows
-that hold two marks, a strong one among them, that are each seen in some earlier row, a weak similarity. Copies of one row are reduced to one before the
+fold runs inside the connected components of these edges: same address, same wording, similarity of words at the threshold, and a common strong
+mark (a name of several words or a figure), without which no two rows are the same story by marks. Copies of one row are reduced to one before the
 similarity join.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from math import ceil
+from sys import intern
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -75,24 +75,26 @@ def fold_stories(rows: list[dict], threshold: float = 0.55, floor: float = 0.25,
     by_text: dict[str, int] = {}
     placed: list[tuple[int, int, str]] = []
     for r in rows:
-        words, marks, summary = set(r["words"]), set(r["marks"]), set(r["summary_words"])
+        words, marks, summary = (set(map(intern, r[c])) for c in ("words", "marks", "summary_words"))
         hit, kind = None, "first"
         if r["canon"] and r["canon"] in by_url:
             hit, kind = by_url[r["canon"]], "same url"
         elif r["exact"] and r["exact"] in by_text:
             hit, kind = by_text[r["exact"]], "same text"
         else:
-            # only stories with a common word among the first ones, or with two common marks, can match
+            # only stories with a common word among the first ones, or with a common strong mark, can match
             close = set().union(*[by_prefix.get(w, ()) for w in _prefix(words, threshold)])
-            common = Counter(i for m in marks for i in by_mark.get(m, ()))
-            for i in sorted(close.union(i for i, n in common.items() if n >= 2)):
+            strong = set().union(*[by_mark.get(m, ()) for m in marks])
+            for i in sorted(close | strong):
                 s = stories[i]
+                n_shared = len(marks & s["marks"]) if i in strong else 0
+                if n_shared < 2 and i not in close:
+                    continue
                 near = _jaccard(words, s["words"])
                 if near >= threshold:
                     hit, kind = i, "near text"
                     break
-                shared = marks & s["marks"]
-                if len(shared) >= 2 and any(m[0] in "nm" for m in shared) and max(near, _jaccard(summary, s["summary"])) >= (abundant_floor if len(shared) >= 3 else floor):
+                if n_shared >= 2 and max(near, _jaccard(summary, s["summary"])) >= (abundant_floor if n_shared >= 3 else floor):
                     hit, kind = i, "same story"
                     break
         rich = (r["has_link"], r["has_summary"], r["body"])
@@ -117,43 +119,35 @@ def fold_stories(rows: list[dict], threshold: float = 0.55, floor: float = 0.25,
                     by_url[r["canon"]] = hit
                 s.update(words=words, summary=summary, rich=rich, survivor=r["pos"], canon=r["canon"] or s["canon"])
         for m in marks:
-            by_mark.setdefault(m, set()).add(hit)
+            if m[0] in "nm":
+                by_mark.setdefault(m, set()).add(hit)
         placed.append((r["pos"], hit, kind))
     return [(pos, stories[i]["slot"], stories[i]["survivor"], kind) for pos, i, kind in placed]
 
 
-def story_edges(f: DataFrame, threshold: float, match: str, floor: float = 0.25, abundant_floor: float = 0.10) -> DataFrame:
-    """(a, b) of the necessary conditions."""
-    firsts = lambda key: f.filter(F.col(key) != "").groupBy(key).agg(F.min("pos").alias("b"))
-    same = lambda key: f.select("pos", key).join(firsts(key), key).filter("pos <> b").select(F.col("pos").alias("a"), "b")
-    classes = classes_of(f.select(F.col("pos").alias("id"), "words"))
+def story_edges(f: DataFrame, threshold: float, match: str) -> DataFrame:
+    """(a, b) of the necessary conditions; f is checkpointed, and so are the classes, so that no plan holds another many times."""
+    firsts = lambda df, key: df.groupBy(key).agg(F.min("pos").alias("b"))
+    same = lambda df, key: df.join(firsts(df, key), key).filter("pos <> b").select(F.col("pos").alias("a"), "b")
+    classes = classes_of(f.select(F.col("pos").alias("id"), "words")).checkpoint()
     equal = classes.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = f.join(classes.filter("id = rep").select(F.col("id").alias("pos")), "pos", "left_semi")
     near = similar_pairs(reps.select(F.col("pos").alias("id"), "words"), threshold).select("a", "b")
-    edges = same("canon").unionByName(same("exact")).unionByName(equal).unionByName(near)
+    edges = equal.unionByName(near)
+    for key in ("canon", "exact"):
+        edges = edges.unionByName(same(f.select("pos", key).filter(F.col(key) != ""), key))
     if match == "near":
         return edges
-    # a mark is shared with a story if any of its rows holds it, so each mark may come from another earlier row: marks are counted by their first rows
-    held = f.select("pos", F.explode("marks").alias("m"))
-    old = held.join(held.groupBy("m").agg(F.min("pos").alias("first")), "m").filter("first < pos")
-    seen = old.groupBy("pos").agg(F.count(F.lit(1)).alias("n"), F.max(F.substring("m", 1, 1).isin("n", "m")).alias("strong")).filter("n >= 2 and strong")
-    for words in ("words", "summary_words"):
-        sets = f.select(F.col("pos").alias("id"), F.col(words).alias("words"))
-        classes = classes_of(sets)
-        edges = edges.unionByName(classes.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
-        sets = sets.join(classes.filter("id = rep").select("id"), "id", "left_semi")
-        # two shared marks ask for the floor, three or more for the lower one
-        for own, least in ((seen.filter("n = 2"), floor), (seen.filter("n > 2"), abundant_floor)):
-            among = classes.join(own.select(F.col("pos").alias("id")), "id", "left_semi").select(F.col("rep").alias("id")).distinct()
-            edges = edges.unionByName(similar_pairs(sets, least, among).select("a", "b"))
-    return edges
+    # a mark is shared with a story if any of its rows holds it, so rows of a strong mark are linked through its first row, and no pairs are compared here
+    held = f.select("pos", F.explode("marks").alias("m")).filter(F.substring("m", 1, 1).isin("n", "m"))
+    return edges.unionByName(same(held, "m"))
 
 
 def dedupe_stories(articles: DataFrame, threshold: float = 0.55, match: str = "full") -> DataFrame:
     """pos, slot, survivor, kind of every article: the story that it belongs to, the row that stands for it and how it was matched.
 
-    ``match="near"`` leaves out the matching by shared names and figures, so that duplicates told in other words stay apart. Where weak similarity
-    links most of the input into one component, "full" folds that component in order in one task.
+    ``match="near"`` leaves out the matching by shared names and figures, so that duplicates told in other words stay apart. Where shared marks
+    link most of the input into one component, "full" folds that component in order in one task.
     """
     if match not in ("full", "near"):
         raise ValueError("match is full or near")

@@ -11,7 +11,7 @@ from feedloom.operators.components import connected_components
 from feedloom.operators.enrich import FirstSentence, enrich, enrich_distinct
 from feedloom.operators.rounds import merge_rounds
 from feedloom.operators.simjoin import classes_of, similar_pairs
-from feedloom.operators.stories import dedupe_stories, dedupe_titles, features, fold_stories
+from feedloom.operators.stories import dedupe_stories, dedupe_titles, features, fold_stories, story_edges
 from feedloom.sources.dims import accounts_from_lines, list_file
 from feedloom.sources.files import read_feeds, read_lines, resume
 from feedloom.sources.html import mail_body, section_links
@@ -120,6 +120,13 @@ def test_dedupe_unites_marks_of_a_story(spark):
     assert sorted((r.pos, r.slot, r.survivor, r.kind) for r in dedupe_stories(df).collect()) == want
 
 
+def test_edges_of_stories_make_a_small_plan(spark):
+    """The plan of all necessary conditions fits a small driver: no plan holds another many times."""
+    f = features(spark.createDataFrame(stories(), ARTICLE)).localCheckpoint()
+    plan = story_edges(f, 0.55, "full")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") + plan.count("Aggregate") < 60
+
+
 def test_title_dedup(spark):
     df = spark.createDataFrame(
         [(1, "Acme opens a big lab", "d", "c", "u1", None, None, None), (2, "Acme opens a big lab now", "d", "longer", "u2", None, None, None), (3, "Other thing", "d", "c", "u1", None, None, None), (4, None, None, None, None, None, None, None), (5, "Different words here", "d", "c", "u3", None, None, None)], ARTICLE
