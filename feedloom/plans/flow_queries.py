@@ -14,7 +14,7 @@ from feedloom.operators.ranking import numbered, with_next
 from feedloom.operators.simjoin import classes_of, similar_pairs
 from feedloom.plans import sqltext as S
 from feedloom.plans.registry import Registry
-from feedloom.session import table
+from feedloom.session import ensure_checkpoint_dir, table
 from feedloom.sources.dims import accounts_from_lines, labs_from_lines
 
 R = Registry()
@@ -261,6 +261,8 @@ _NEAR = S.words("coalesce(title, '') || ' ' || coalesce(description, '')")
 def jaccard_near_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Similar pairs between representatives of equal word sets."""
     rows = table(spark, d, "summarized_articles").select(F.col("pos").alias("id"), significant_words(F.concat(filled("title"), F.lit(" "), filled("description"))).alias("words"))
+    ensure_checkpoint_dir(spark)
+    rows = rows.checkpoint()
     reps = rows.join(classes_of(rows).filter("id = rep").select("id"), "id", "left_semi")
     return similar_pairs(reps, 0.55).withColumn("similarity", F.round("similarity", 6))
 

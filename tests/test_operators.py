@@ -10,7 +10,7 @@ from feedloom.operators.collection import collect_posts
 from feedloom.operators.components import connected_components
 from feedloom.operators.enrich import FirstSentence, enrich, enrich_distinct
 from feedloom.operators.rounds import merge_rounds
-from feedloom.operators.simjoin import classes_of, similar_pairs
+from feedloom.operators.simjoin import classes_of, numbered_sets, similar_links, similar_pairs
 from feedloom.operators.stories import dedupe_stories, dedupe_titles, features, fold_stories, story_edges
 from feedloom.sources.dims import accounts_from_lines, list_file
 from feedloom.sources.files import read_feeds, read_lines, resume
@@ -79,6 +79,37 @@ def test_similar_pairs_against_brute_force(spark):
         assert {(r.a, r.b) for r in similar_pairs(reps, t).collect()} == want
 
 
+def joined(pairs):
+    """Smallest node that each node is linked to."""
+    low = {}
+    for a, b in sorted(pairs):
+        x, y = low.setdefault(a, a), low.setdefault(b, b)
+        for n in [n for n, v in low.items() if v == max(x, y)] if x != y else ():
+            low[n] = min(x, y)
+    return low
+
+
+@pytest.mark.parametrize("block", [200, 16384])
+def test_blocks_of_similar_sets(spark, block):
+    """Hot words in one block or dealt to many, and sets wider than the matrix: every pair once, no pair leaves its block unverified, and the links join what the pairs join."""
+    rng = random.Random(5)
+    sets = [(i, [f"w{k}" for k in rng.sample(range(14), rng.randint(1, 9))]) for i in range(400)]
+    base = [f"x{k}" for k in range(90)]
+    sets += [(1000 + i, rng.sample(base, 80)) for i in range(6)] + [(2000 + i, base[:16] + rng.sample(base[16:], 4)) for i in range(540)]
+    df = spark.createDataFrame(sets, "id long, words array<string>")
+    reps = df.join(classes_of(df).filter("id = rep").select("id"), "id", "left_semi").localCheckpoint()
+    known = {r.id: set(r.words) for r in reps.collect()}
+    want = {(a, b): len(known[a] & known[b]) / len(known[a] | known[b]) for a, b in itertools.combinations(sorted(known), 2)}
+    want = {k: v for k, v in want.items() if v >= 0.55}
+    found = similar_pairs(reps, 0.55, block)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 0
+    got = [(r.a, r.b, r.similarity) for r in found.collect()]
+    assert len(got) == len(want) and {(a, b): s for a, b, s in got} == want
+    links = similar_links(numbered_sets(reps), 0.55, block)
+    links = [tuple(r) for r in links.collect()]
+    assert len(links) <= len(want) // 4 and joined(links) == joined(want)
+
+
 ARTICLE = "pos long, title string, description string, content string, url string, source_url string, sources array<string>, summary string"
 
 
