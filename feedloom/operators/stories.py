@@ -12,6 +12,7 @@ from __future__ import annotations
 from math import ceil
 from sys import intern
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from feedloom.functions import urls
 from feedloom.functions.text import filled, first_filled, name_phrases, significant_words, title_words
 from feedloom.operators.components import connected_components
 from feedloom.operators.grounding import checkable, figures
-from feedloom.operators.simjoin import classes_of, similar_pairs
+from feedloom.operators.simjoin import NearSets, Sets, classes_of, numbered_sets, similar_links, similar_pairs
 from feedloom.session import ensure_checkpoint_dir
 
 
@@ -167,6 +168,38 @@ def dedupe_stories(articles: DataFrame, threshold: float = 0.55, match: str = "f
     return grouped.unionByName(alone)
 
 
+def fold_titles(pdf: pd.DataFrame, threshold: float) -> list[int]:
+    """pos of the rows that stay of one component, rows in order of pos: a row joins the oldest story whose row has a near title; a longer row takes that one's place,
+    with its own title. Classes of equal titles are compared as rows come, and only with those that a story's row is of, so no pairs are held."""
+    of = pdf["ws"].notna()
+    reps = pdf["rep"][of].to_numpy()
+    x = NearSets(Sets.of(pdf["ws"][of].tolist()), threshold)
+    order = np.argsort(reps)
+    classes = order[np.searchsorted(reps, pdf["rep"].to_numpy(), sorter=order)]
+    held: dict[int, set[int]] = {}  # class -> stories whose row is of it
+    none = len(pdf)
+    oldest = np.full(len(reps), none)  # of each class's stories
+    stories: list[tuple[int, int, int]] = []  # (pos, size, class)
+    for pos, size, c in zip(pdf["pos"].tolist(), pdf["size"].tolist(), classes.tolist(), strict=True):
+        at = int(oldest[c])
+        near = x.near(c, oldest, at)
+        if len(near):
+            at = int(oldest[near].min())
+        if at == none:
+            at = len(stories)
+            stories.append((pos, size, c))
+        elif size > stories[at][1]:
+            old = stories[at][2]
+            held[old].discard(at)
+            oldest[old] = min(held[old], default=none)
+            stories[at] = (pos, size, c)
+        else:
+            continue
+        held.setdefault(c, set()).add(at)
+        oldest[c] = min(int(oldest[c]), at)
+    return [p for p, _, _ in stories]
+
+
 def dedupe_titles(articles: DataFrame, threshold: float = 0.5) -> DataFrame:
     """pos of the articles that remain after one row for each address and greedy removal of similar titles (longer content wins)."""
     base = articles.select("pos", filled("url").alias("url"), title_words(F.col("title")).alias("words"), F.length(F.coalesce(first_filled("content", "description"), F.lit(""))).alias("size"))
@@ -176,32 +209,14 @@ def dedupe_titles(articles: DataFrame, threshold: float = 0.5) -> DataFrame:
     classes = classes_of(once.select(F.col("pos").alias("id"), "words")).checkpoint()
     edges = classes.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = once.join(classes.filter("id = rep").select(F.col("id").alias("pos")), "pos", "left_semi")
-    near = similar_pairs(reps.select(F.col("pos").alias("id"), "words"), threshold).select("a", "b").checkpoint()
-    comps = connected_components(edges.unionByName(near))
-    # a row knows its class of equal titles, and the class's first row the classes that are near: the fold compares no words
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    beside = both.groupBy("a").agg(F.collect_list("b").alias("near")).withColumnRenamed("a", "rep")
+    # the links join what the similar pairs join, but are no more than the words; a row knows its class of equal titles, and the class's first row the words
+    ranked = numbered_sets(reps.select(F.col("pos").alias("id"), "words"))
+    comps = connected_components(edges.unionByName(similar_links(ranked, threshold)))
     rows = once.select("pos", "size").join(comps, once["pos"] == comps["node"]).join(classes.select(F.col("id").alias("pos"), "rep"), "pos")
-    rows = rows.join(beside, "rep", "left").select("component", "pos", "size", "rep", F.when(F.col("pos") == F.col("rep"), F.col("near")).alias("near"))
+    rows = rows.join(ranked.withColumnRenamed("id", "pos"), "pos", "left").select("component", "pos", "size", "rep", "ws")
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Rows in order join the oldest story whose row has a near title; a longer row takes that one's place, with its own title."""
-        pdf = pdf.sort_values("pos")
-        beside = {r: near for r, near in zip(pdf["rep"], pdf["near"], strict=True) if near is not None}
-        held: dict[int, set[int]] = {}  # class -> stories whose row is of it
-        stories: list[tuple[int, int, int]] = []  # (pos, size, class)
-        for pos, size, rep in zip(pdf["pos"].tolist(), pdf["size"].tolist(), pdf["rep"].tolist(), strict=True):
-            at = min((i for c in (rep, *beside.get(rep, ())) if held.get(c) for i in held[c]), default=None)
-            if at is None:
-                at = len(stories)
-                stories.append((pos, size, rep))
-            elif size > stories[at][1]:
-                held[stories[at][2]].discard(at)
-                stories[at] = (pos, size, rep)
-            else:
-                continue
-            held.setdefault(rep, set()).add(at)
-        return pd.DataFrame({"pos": [p for p, _, _ in stories]})
+        return pd.DataFrame({"pos": fold_titles(pdf.sort_values("pos"), threshold)})
 
     folded = rows.groupBy("component").applyInPandas(fold, "pos bigint")
     alone = once.join(comps.select(F.col("node").alias("pos")), "pos", "left_anti").select("pos")

@@ -253,3 +253,12 @@ def test_title_dedup_equals_a_fold(spark, seed):
         elif len(content) > kept[at][2]:
             kept[at] = (pos, w, len(content))
     assert sorted(r.pos for r in dedupe_titles(spark.createDataFrame(rows, ARTICLE)).collect()) == sorted(p for p, _, _ in kept)
+
+
+def test_title_dedup_holds_no_pairs(spark, monkeypatch):
+    """Near titles are linked, not paired: 80 titles that are all near to each other have 3,160 pairs."""
+    seen = []
+    monkeypatch.setattr("feedloom.operators.stories.connected_components", lambda edges: seen.append(edges.count()) or connected_components(edges))
+    rows = [(i, f"acme opens lab wafer number{i}", "d", "c" * (1 + i % 3), f"u{i}", None, None, None) for i in range(80)]
+    assert [r.pos for r in dedupe_titles(spark.createDataFrame(rows, ARTICLE)).collect()] == [2]
+    assert seen[0] <= 80 * 4
