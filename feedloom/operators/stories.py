@@ -22,7 +22,7 @@ from feedloom.functions import urls
 from feedloom.functions.text import filled, first_filled, name_phrases, significant_words, title_words
 from feedloom.operators.components import connected_components
 from feedloom.operators.grounding import checkable, figures
-from feedloom.operators.simjoin import NearSets, Sets, classes_of, numbered_sets, similar_links, similar_pairs
+from feedloom.operators.simjoin import NearSets, Sets, classes_of, numbered_sets, similar_links
 from feedloom.session import ensure_checkpoint_dir
 
 
@@ -133,8 +133,7 @@ def story_edges(f: DataFrame, threshold: float, match: str) -> DataFrame:
     classes = classes_of(f.select(F.col("pos").alias("id"), "words")).checkpoint()
     equal = classes.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = f.join(classes.filter("id = rep").select(F.col("id").alias("pos")), "pos", "left_semi")
-    near = similar_pairs(reps.select(F.col("pos").alias("id"), "words"), threshold).select("a", "b")
-    edges = equal.unionByName(near)
+    edges = equal.unionByName(similar_links(numbered_sets(reps.select(F.col("pos").alias("id"), "words")), threshold))
     for key in ("canon", "exact"):
         edges = edges.unionByName(same(f.select("pos", key).filter(F.col(key) != ""), key))
     if match == "near":

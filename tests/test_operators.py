@@ -262,3 +262,12 @@ def test_title_dedup_holds_no_pairs(spark, monkeypatch):
     rows = [(i, f"acme opens lab wafer number{i}", "d", "c" * (1 + i % 3), f"u{i}", None, None, None) for i in range(80)]
     assert [r.pos for r in dedupe_titles(spark.createDataFrame(rows, ARTICLE)).collect()] == [2]
     assert seen[0] <= 80 * 4
+
+
+def test_edges_of_stories_are_links(spark):
+    """40 articles that are all near to each other have 780 pairs, but are linked by fewer edges than their words."""
+    same = "alpha beta gamma delta epsilon zeta theta kappa lambda sigma omicron"
+    rows = [(i, f"{same} number{i}", "", "", f"u{i}", None, None, None) for i in range(40)]
+    edges = story_edges(features(spark.createDataFrame(rows, ARTICLE)).localCheckpoint(), 0.55, "near")
+    assert {r.node for r in connected_components(edges).filter("component = 0").collect()} == set(range(40))
+    assert edges.count() <= 40 * 6
