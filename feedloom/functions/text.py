@@ -38,10 +38,15 @@ def significant_words(c: Column, stop_words: tuple[str, ...] = vocab.STOP_WORDS)
     text = F.lower(F.regexp_replace(filled(c), r"^@[A-Za-z0-9_]+:\s*", ""))
     text = F.regexp_replace(text, r"(?i)https?://[^\s<>\"')\]]+", " ")
     text = F.regexp_replace(text, r"(?U)[^\w\s]", " ")
-    words = F.filter(F.split(text, r"(?U)\s+"), lambda w: (F.length(w) > 2) & ~w.isin(*stop_words))
-    runs = F.regexp_extract_all(text, F.lit(r"[一-鿿]{2,}"), F.lit(0))
-    pairs = F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substr(r, i, F.lit(2)))))
-    return F.array_distinct(F.concat(words, F.coalesce(pairs, F.array().cast("array<string>"))))
+
+    def of(t: Column) -> Column:
+        words = F.filter(F.split(t, r"(?U)\s+"), lambda w: (F.length(w) > 2) & ~w.isin(*stop_words))
+        runs = F.regexp_extract_all(t, F.lit(r"[一-鿿]{2,}"), F.lit(0))
+        pairs = F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substr(r, i, F.lit(2)))))
+        return F.array_distinct(F.concat(words, F.coalesce(pairs, F.array().cast("array<string>"))))
+
+    # in a lambda the text is made once
+    return F.get(F.transform(F.array(text), of), F.lit(0))
 
 
 def title_words(c: Column) -> Column:

@@ -54,6 +54,17 @@ def checkable(f: Column) -> Column:
     return f["is_percent"] | f["has_currency"] | (~year & (v >= 1000))
 
 
+@pandas_udf(T.ArrayType(T.DoubleType()))
+def checkable_values(texts: pd.Series) -> pd.Series:
+    """The values of :func:`figures` that are :func:`checkable`."""
+
+    def holds(f: dict) -> bool:
+        v = f["value"]
+        return f["is_percent"] or f["has_currency"] or (v >= 1000 and not (v.is_integer() and 1900 <= v <= 2100))
+
+    return texts.map(lambda text: [f["value"] for f in figures_of(text) if holds(f)])
+
+
 def unsupported(summary: Column, source: Column, tolerance: float = 0.01) -> Column:
     """Distinct wording, in order, of the checkable figures that no figure of the source comes within ``tolerance`` of."""
     close = lambda a, b: (a["is_percent"] == b["is_percent"]) & (F.abs(a["value"] - b["value"]) <= tolerance * F.greatest(F.abs(a["value"]), F.abs(b["value"])))
@@ -72,4 +83,4 @@ def accept_repair(flags: Column, repaired_flags: Column) -> Column:
     return F.size(repaired_flags) < F.size(flags)
 
 
-__all__ = ["accept_repair", "checkable", "figures", "figures_of", "ground", "unsupported"]
+__all__ = ["accept_repair", "checkable", "checkable_values", "figures", "figures_of", "ground", "unsupported"]

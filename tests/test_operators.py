@@ -271,3 +271,69 @@ def test_edges_of_stories_are_links(spark):
     edges = story_edges(features(spark.createDataFrame(rows, ARTICLE)).localCheckpoint(), 0.55, "near")
     assert {r.node for r in connected_components(edges).filter("component = 0").collect()} == set(range(40))
     assert edges.count() <= 40 * 6
+
+
+def plain_fold(rows):
+    """The fold as its definition says, every row against every story."""
+    stories, by_url, by_text, placed = [], {}, {}, []
+    like = lambda a, b: len(a & b) / len(a | b) if a and b else 0.0
+    for r in rows:
+        words, marks, summary, rich = set(r["words"]), set(r["marks"]), set(r["summary_words"]), (r["has_link"], r["has_summary"], r["body"])
+        hit, kind = None, "first"
+        if r["canon"] in by_url:
+            hit, kind = by_url[r["canon"]], "same url"
+        elif r["exact"] in by_text:
+            hit, kind = by_text[r["exact"]], "same text"
+        else:
+            for i, s in enumerate(stories):
+                shared = marks & s["marks"]
+                if like(words, s["words"]) >= 0.55:
+                    hit, kind = i, "near text"
+                elif len(shared) >= 2 and any(m[0] in "nm" for m in shared) and max(like(words, s["words"]), like(summary, s["summary"])) >= (0.10 if len(shared) >= 3 else 0.25):
+                    hit, kind = i, "same story"
+                if hit is not None:
+                    break
+        if hit is None:
+            hit = len(stories)
+            stories.append({"words": words, "summary": summary, "marks": marks, "canon": r["canon"], "rich": rich, "slot": r["pos"], "survivor": r["pos"]})
+            by_url |= {r["canon"]: hit} if r["canon"] else {}
+            by_text |= {r["exact"]: hit} if r["exact"] else {}
+        else:
+            s = stories[hit]
+            s["marks"] = s["marks"] | marks
+            if rich > s["rich"]:
+                if r["canon"] and (not s["canon"] or by_url.get(s["canon"]) == hit):
+                    by_url[r["canon"]] = hit
+                s.update(words=words, summary=summary, rich=rich, survivor=r["pos"], canon=r["canon"] or s["canon"])
+        placed.append((r["pos"], hit, kind))
+    return [(p, stories[i]["slot"], stories[i]["survivor"], k) for p, i, k in placed]
+
+
+@pytest.mark.parametrize("bits", [3, 11])
+@pytest.mark.parametrize("seed", range(4))
+def test_story_fold_equals_its_definition(monkeypatch, seed, bits):
+    """Short and long texts, stories in one block and in many, survivors that change."""
+    monkeypatch.setattr("feedloom.operators.stories._BITS", bits)
+    rng = random.Random(seed)
+    vocabulary = [f"w{'x' * (k % 5)}{k}" for k in range(70)]
+    marks = [f"n:name {k}" for k in range(25)] + [f"t:word{k}" for k in range(10)] + ["m:5.0", "m:7.0"]
+    rows = []
+    for pos in range(500):
+        words = rng.sample(vocabulary, rng.randint(0, 14)) if pos < 20 or rng.random() < 0.7 else [w for w in rows[rng.randrange(pos)]["words"] if rng.random() < 0.8]
+        rows.append({"pos": pos, "canon": rng.choice(["", f"u{rng.randrange(300)}"]), "exact": "".join(sorted(words)), "words": words, "summary_words": rng.sample(vocabulary[:30], rng.randint(0, 8)), "marks": rng.sample(marks, rng.randint(0, 5)), "has_link": rng.randint(0, 1), "has_summary": 1, "body": rng.randint(0, 50)})
+    want = plain_fold(rows)
+    assert {k for *_, k in want} == {"first", "same url", "same text", "near text", "same story"}
+    assert fold_stories(rows) == want
+
+
+def test_full_match_is_one_pass(spark, monkeypatch):
+    """The full match joins no marks and seeks no components, which took most of the time and found one component."""
+
+    def none(*_):
+        raise AssertionError("components are sought")
+
+    monkeypatch.setattr("feedloom.operators.stories.connected_components", none)
+    df = spark.createDataFrame(stories(200, 9), ARTICLE).repartition(5)
+    want = plain_fold([r.asDict() for r in features(df).orderBy("pos").collect()])
+    assert sorted(tuple(r) for r in dedupe_stories(df).collect()) == sorted(want)
+    assert dedupe_stories(df.limit(0)).count() == 0
