@@ -337,3 +337,13 @@ def test_full_match_is_one_pass(spark, monkeypatch):
     want = plain_fold([r.asDict() for r in features(df).orderBy("pos").collect()])
     assert sorted(tuple(r) for r in dedupe_stories(df).collect()) == sorted(want)
     assert dedupe_stories(df.limit(0)).count() == 0
+
+
+def test_curation_seeks_no_components(spark, monkeypatch):
+    """Curation's duplicates are the rows that stand for no story of the one pass."""
+    from feedloom.operators.curation import curate
+
+    monkeypatch.setattr("feedloom.operators.stories.connected_components", None)
+    df = spark.createDataFrame(stories(120, 4), ARTICLE)
+    kept = {s for _, _, s, _ in plain_fold([r.asDict() for r in features(df).orderBy("pos").collect()])}
+    assert {r.pos for r in curate(df, dedupe_only=True).collect() if r.verdict == "kept"} == kept
